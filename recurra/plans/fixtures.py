@@ -10,10 +10,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators import silver
+from ..operators.scd2 import CHECKED_COLUMNS, merge_snapshot
 from ..sources.provenance import add_provenance
 from ..sources.schemas import declared_schema
 
 INSTANT = "yyyy-MM-dd'T'HH:mm:ss"
+# Days of the snapshot runs; orders fall before, between and after them.
+RUNS = ("1997-01-01", "1999-01-01", "2001-01-01")
 
 
 class Records:
@@ -246,7 +250,7 @@ class Records:
                 F.struct(
                     _patient_reference(k, F.col("user_id").cast("string")).alias("reference")
                 ).alias("subject"),
-                F.struct(F.concat(F.lit("urn:uuid:"), k.cast("string")).alias("reference")).alias(
+                F.struct(F.concat(F.lit("Encounter/"), k.cast("string")).alias("reference")).alias(
                     "encounter"
                 ),
                 F.when(k % 50 == 0, with_fraction).otherwise(whole).alias("effectiveDateTime"),
@@ -359,6 +363,73 @@ class Records:
             "DocumentReference",
         )
 
+    def _last_before(self, run_at: str, key: Column) -> DataFrame:
+        """Per key the last order of the two years before a day: ``key``, ``last``."""
+        order = F.struct(
+            F.col("o_orderdate").alias("at"),
+            F.col("o_orderkey").alias("id"),
+            F.col("o_orderstatus").alias("status"),
+        )
+        day = F.lit(run_at).cast("timestamp_ntz")
+        recent = (F.col("o_orderdate") < day) & (
+            F.col("o_orderdate") >= day - F.expr("INTERVAL 2 YEARS")
+        )
+        orders = self.table("orders").filter(recent)
+        return orders.groupBy(key.cast("string").alias("key")).agg(F.max(order).alias("last"))
+
+    def patient_as_of(self, run_at: str) -> DataFrame:
+        """Flat patients as a source would have listed them on a day.
+
+        Listed are those with an order in the two years before it. The marital code, which is
+        under history, follows the last order's status (none for P); ``last_visit``, which is
+        not, follows its day.
+        """
+        seen = self._last_before(run_at, F.col("o_custkey"))
+        listed = silver.patient(self.patient()).join(seen, F.col("patient_id") == F.col("key"))
+        code = F.concat_ws("/", "marital_status_code", F.nullif("last.status", F.lit("P")))
+        code = F.when(F.col("last.status") != "P", code)
+        return (
+            listed.withColumn("marital_status_code", code)
+            .withColumn("last_visit", F.date_format("last.at", "yyyy-MM-dd"))
+            .drop("key", "last")
+        )
+
+    def organization_as_of(self, run_at: str) -> DataFrame:
+        """Flat organizations whose name carries the status of their last order."""
+        seen = self._last_before(run_at, F.col("o_custkey") % 25)
+        listed = silver.organization(self.organization()).join(
+            seen, F.col("organization_id") == F.col("key")
+        )
+        return listed.withColumn("name", F.concat_ws(" ", "name", "last.status")).drop("key", "last")
+
+    def practitioner_as_of(self, run_at: str) -> DataFrame:
+        """Flat practitioners with the return flag of their last shipped line as given name."""
+        line = F.struct("l_shipdate", "l_orderkey", "l_linenumber", "l_returnflag")
+        seen = (
+            self.table("lineitem")
+            .filter(F.col("l_shipdate") < F.lit(run_at).cast("timestamp_ntz"))
+            .groupBy(F.col("l_suppkey").cast("string").alias("key"))
+            .agg(F.max(line).alias("last"))
+        )
+        listed = silver.practitioner(self.practitioner()).join(
+            seen, F.col("practitioner_id") == F.col("key")
+        )
+        return listed.withColumn("given_name", F.col("last.l_returnflag")).drop("key", "last")
+
+    def history(self, entity: str) -> DataFrame:
+        """Snapshot state of an entity after all runs."""
+        listed = getattr(self, f"{entity}_as_of")
+        state = None
+        for run_at in RUNS:
+            state = merge_snapshot(
+                state,
+                listed(run_at),
+                f"{entity}_id",
+                CHECKED_COLUMNS[entity],
+                F.lit(run_at).cast("timestamp"),
+            )
+        return state
+
     def by_name(self, dirty: bool = False) -> dict[str, DataFrame]:
         return {
             "Patient": self.patient(dirty),
