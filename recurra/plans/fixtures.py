@@ -9,131 +9,166 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..operators import silver
 from ..operators.scd2 import CHECKED_COLUMNS, merge_snapshot
 from ..sources.provenance import add_provenance
 from ..sources.schemas import declared_schema
 
-INSTANT = "yyyy-MM-dd'T'HH:mm:ss"
 # Days of the snapshot runs; orders fall before, between and after them.
 RUNS = ("1997-01-01", "1999-01-01", "2001-01-01")
 
+NAMES = (
+    "Patient", "Encounter", "Condition", "Procedure", "Observation", "MedicationRequest",
+    "DocumentReference", "Organization", "Practitioner",
+)
+
+_INSTANT = "yyyy-MM-dd\\'T\\'HH:mm:ss"
+
+
+def _text(time: str) -> str:
+    return f"date_format({time}, '{_INSTANT}')"
+
+
+def _concept(code: str, display: str) -> str:
+    coding = f"named_struct('system', 'http://example.org/codes', 'code', {code}, 'display', {display})"
+    return f"named_struct('coding', array({coding}), 'text', {display})"
+
+
+def _extension(kind: str, code: str) -> str:
+    coding = f"named_struct('system', 'urn:oid:1', 'code', {code}, 'display', concat('Group ', {code}))"
+    inner = f"array(named_struct('url', 'ombCategory', 'valueCoding', {coding}))"
+    return f"named_struct('url', 'http://example.org/us-core-{kind}', 'extension', {inner})"
+
+
+def _address(line: str, postal_code: str) -> str:
+    return f"""array(named_struct('line', array({line}), 'city', n_name, 'state', r_name,
+                                  'postalCode', {postal_code}, 'country', 'US'))"""
+
+
+def _patient_reference(key: str, patient: str) -> str:
+    return f"""named_struct('reference',
+        concat(if({key} % 2 = 0, 'Patient/', 'urn:uuid:'), CAST({patient} AS STRING)))"""
+
+
+def _reference(prefix: str, key: str) -> str:
+    return f"named_struct('reference', concat('{prefix}', CAST({key} AS STRING)))"
+
 
 class Records:
     """Nested records over one folder of test tables."""
 
+    _schemas: dict[str, T.StructType] = {}
+
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
-
-    def _shaped(self, df: DataFrame, resource: str) -> DataFrame:
-        """Columns in declared order and type, plus fixed provenance."""
-        schema = declared_schema(resource)
-        shaped = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema])
-        return add_provenance(
-            shaped.withColumn("_source_file", F.lit(f"{resource}.ndjson")),
-            "fixture",
-            F.lit("2024-01-01 00:00:00").cast("timestamp"),
+        """A test table; its schema is read from the file once."""
+        path = f"{self.folder}/{name}.parquet"
+        if path not in self._schemas:
+            self._schemas[path] = self.spark.read.parquet(path).schema
+        return self.spark.read.schema(self._schemas[path]).parquet(path)
+
+    def records(self, name: str, dirty: bool = False) -> DataFrame:
+        """Records of a resource type; types without a contract have no broken variant."""
+        build = {
+            "Patient": self.patient,
+            "Encounter": self.encounter,
+            "Condition": self.condition,
+            "Procedure": self.procedure,
+            "Organization": self.organization,
+            "Practitioner": self.practitioner,
+        }.get(name)
+        if build is not None:
+            return build(dirty)
+        return {
+            "Observation": self.observation,
+            "MedicationRequest": self.medication_request,
+            "DocumentReference": self.document_reference,
+        }[name]()
+
+    def _shaped(self, df: DataFrame, resource: str, broken: dict[str, str] | None, **fields: str) -> DataFrame:
+        """Fields in declared order and type plus fixed provenance.
+
+        ``broken`` maps a field to the expression that takes its place in broken records.
+        """
+        texts = {**fields, **(broken or {})}
+        shaped = df.selectExpr(
+            *[
+                f"CAST({texts[f.name]} AS {f.dataType.simpleString()}) AS `{f.name}`"
+                for f in declared_schema(resource)
+            ],
+            f"'{resource}.ndjson' AS _source_file",
         )
+        return add_provenance(shaped, "fixture", F.expr("TIMESTAMP '2024-01-01 00:00:00'"))
+
+    def _sites(self) -> DataFrame:
+        return self.table("nation").join(self.table("region"), F.expr("n_regionkey = r_regionkey"))
 
     def patient(self, dirty: bool = False) -> DataFrame:
-        k = F.col("c_custkey")
-        homes = self.table("nation").join(
-            self.table("region"), F.col("n_regionkey") == F.col("r_regionkey")
-        )
-        genders = F.array(*[F.lit(g) for g in ("male", "female", "other", "unknown")])
-        birth = F.date_add(F.lit("1930-01-01").cast("date"), ((k * 97) % 29000).cast("int"))
-        gender = F.get(genders, (k % 4).cast("int"))
-        born = birth.cast("string")
-        address = F.array(
-            F.struct(
-                F.array(F.concat(F.lit("Street "), k.cast("string"))).alias("line"),
-                F.col("n_name").alias("city"),
-                F.col("r_name").alias("state"),
-                F.lpad(F.col("c_nationkey").cast("string"), 5, "0").alias("postalCode"),
-                F.lit("US").alias("country"),
-            )
-        )
-        race, ethnicity = k % 5, k % 2
-        tags = F.array(
-            _extension("http://example.org/us-core-race", "R", race),
-            _extension("http://example.org/us-core-ethnicity", "E", ethnicity),
-        )
-        extension = F.when(k % 13 != 0, tags).otherwise(F.filter(tags, lambda x: F.lit(False)))
-        if dirty:
-            gender = F.when(k % 101 == 7, None).when(k % 103 == 9, "M").otherwise(gender)
-            born = F.when(k % 107 == 11, "not-a-date").otherwise(born)
-            extension = F.when(k % 109 != 13, extension)
-        people = self.table("customer").join(homes, F.col("c_nationkey") == F.col("n_nationkey"))
+        k = "c_custkey"
+        gender = f"element_at(array('male', 'female', 'other', 'unknown'), CAST({k} % 4 + 1 AS INT))"
+        birth = f"CAST(date_add(DATE '1930-01-01', CAST(({k} * 97) % 29000 AS INT)) AS STRING)"
+        tags = f"""array({_extension('race', f"concat('R', {k} % 5)")},
+                         {_extension('ethnicity', f"concat('E', {k} % 2)")})"""
+        extension = f"slice({tags}, 1, if({k} % 13 = 0, 0, 2))"
+        broken = {
+            "gender": f"CASE WHEN {k} % 101 = 7 THEN NULL WHEN {k} % 103 = 9 THEN 'M' ELSE {gender} END",
+            "birthDate": f"if({k} % 107 = 11, 'not-a-date', {birth})",
+            "extension": f"if({k} % 109 = 13, NULL, {extension})",
+        }
         return self._shaped(
-            people.select(
-                k.cast("string").alias("id"),
-                gender.alias("gender"),
-                born.alias("birthDate"),
-                F.when(k % 11 == 0, F.lit("2001-02-03T04:05:06Z")).alias("deceasedDateTime"),
-                address.alias("address"),
-                _concept(F.col("c_mktsegment"), F.col("c_mktsegment")).alias("maritalStatus"),
-                extension.alias("extension"),
-            ),
+            self.table("customer").join(self._sites(), F.expr("c_nationkey = n_nationkey")),
             "Patient",
+            broken if dirty else None,
+            id=k,
+            gender=gender,
+            birthDate=birth,
+            deceasedDateTime=f"if({k} % 11 = 0, '2001-02-03T04:05:06Z', NULL)",
+            address=_address(f"concat('Street ', {k})", "lpad(CAST(c_nationkey AS STRING), 5, '0')"),
+            maritalStatus=_concept("c_mktsegment", "c_mktsegment"),
+            extension=extension,
         )
 
     def encounter(self, dirty: bool = False) -> DataFrame:
-        k, customer = F.col("o_orderkey"), F.col("o_custkey").cast("string")
-        end = F.col("o_orderdate") + F.make_interval(days=(1 + k % 5).cast("int"))
-        start = F.concat(F.date_format("o_orderdate", INSTANT), _zone(k))
-        subject = F.struct(_patient_reference(k, customer).alias("reference"))
-        type_ = F.array(_concept(F.col("o_orderstatus"), F.col("o_orderpriority")))
-        location = F.array(F.struct(F.struct(F.lit("Ward").alias("display")).alias("location")))
-        if dirty:
-            start = F.when(k % 83 == 2, "yesterday").otherwise(start)
-            subject = F.when(k % 97 != 5, subject)
-            type_ = F.when(k % 89 != 3, type_)
-            location = F.when(k % 79 == 4, F.array(F.lit(None))).otherwise(location)
-        code = F.expr(
-            "CASE o_orderpriority WHEN '5-LOW' THEN 'EMER' WHEN '4-NOT SPECIFIED' THEN 'AMB' ELSE 'IMP' END"
-        )
-        status = F.expr(
-            "CASE o_orderstatus WHEN 'F' THEN 'finished' WHEN 'O' THEN 'in-progress' ELSE 'planned' END"
-        )
+        k = "o_orderkey"
+        zone = f"if({k} % 2 = 0, 'Z', '+00:00')"
+        start = f"concat({_text('o_orderdate')}, {zone})"
+        ended = _text(f"o_orderdate + make_interval(0, 0, 0, CAST(1 + {k} % 5 AS INT))")
+        end = f"concat({ended}, {zone})"
+        period = f"named_struct('start', {start}, 'end', {end})"
+        bad_period = f"named_struct('start', if({k} % 83 = 2, 'yesterday', {start}), 'end', {end})"
+        type_ = f"array({_concept('o_orderstatus', 'o_orderpriority')})"
+        subject = _patient_reference(k, "o_custkey")
+        location = "array(named_struct('location', named_struct('display', 'Ward')))"
+        broken = {
+            "period": bad_period,
+            "subject": f"if({k} % 97 = 5, NULL, {subject})",
+            "type": f"if({k} % 89 = 3, NULL, {type_})",
+            "location": f"if({k} % 79 = 4, array(NULL), {location})",
+        }
         return self._shaped(
-            self.table("orders").select(
-                k.cast("string").alias("id"),
-                status.alias("status"),
-                F.struct(
-                    F.lit(None).cast("string").alias("system"),
-                    code.alias("code"),
-                    F.lit(None).cast("string").alias("display"),
-                ).alias("class"),
-                type_.alias("type"),
-                subject.alias("subject"),
-                F.struct(
-                    start.alias("start"),
-                    F.concat(F.date_format(end, INSTANT), _zone(k)).alias("end"),
-                ).alias("period"),
-                F.when(k % 3 != 0, F.array(_concept(F.col("o_orderpriority"), F.lit("reason")))).alias(
-                    "reasonCode"
-                ),
-                F.when(
-                    k % 10 == 0,
-                    F.struct(_concept(F.lit("home"), F.lit("Home")).alias("dischargeDisposition")),
-                ).alias("hospitalization"),
-                location.alias("location"),
-                F.struct(
-                    F.concat(
-                        F.lit("Organization?identifier=sys|"),
-                        (F.col("o_custkey") % 25).cast("string"),
-                    ).alias("reference")
-                ).alias("serviceProvider"),
-                F.array(
-                    F.struct(F.struct(F.lit("Practitioner/1").alias("reference")).alias("individual"))
-                ).alias("participant"),
-            ),
+            self.table("orders"),
             "Encounter",
+            broken if dirty else None,
+            id=k,
+            status="CASE o_orderstatus WHEN 'F' THEN 'finished' WHEN 'O' THEN 'in-progress' ELSE 'planned' END",
+            type=type_,
+            subject=subject,
+            period=period,
+            location=location,
+            reasonCode=f"if({k} % 3 = 0, NULL, array({_concept("o_orderpriority", "'reason'")}))",
+            hospitalization=f"""if({k} % 10 = 0,
+                named_struct('dischargeDisposition', {_concept("'home'", "'Home'")}), NULL)""",
+            serviceProvider=_reference("Organization?identifier=sys|", "o_custkey % 25"),
+            participant="array(named_struct('individual', named_struct('reference', 'Practitioner/1')))",
+            **{
+                "class": """named_struct('system', NULL, 'code', CASE o_orderpriority WHEN '5-LOW' THEN 'EMER'
+                    WHEN '4-NOT SPECIFIED' THEN 'AMB' ELSE 'IMP' END, 'display', NULL)"""
+            },
         )
 
     def _lines(self) -> DataFrame:
@@ -142,225 +177,155 @@ class Records:
             self.table("lineitem")
             .groupBy("l_orderkey", "l_linenumber")
             .agg(
-                F.max("l_partkey").alias("partkey"),
-                F.max("l_suppkey").alias("suppkey"),
-                F.max("l_shipdate").alias("shipdate"),
+                F.expr("max(l_partkey) AS partkey"),
+                F.expr("max(l_suppkey) AS suppkey"),
+                F.expr("max(l_shipdate) AS shipdate"),
             )
         )
-        return (
-            lines.join(self.table("part"), F.col("partkey") == F.col("p_partkey"))
-            .join(
-                self.table("orders").select("o_orderkey", "o_custkey"),
-                F.col("l_orderkey") == F.col("o_orderkey"),
-            )
-            .withColumn("id", F.concat_ws("-", F.col("l_orderkey"), F.col("l_linenumber")))
-            .withColumn(
-                "subject",
-                F.struct(F.concat(F.lit("urn:uuid:"), F.col("o_custkey")).alias("reference")),
-            )
-            .withColumn(
-                "encounter",
-                F.struct(F.concat(F.lit("Encounter/"), F.col("l_orderkey")).alias("reference")),
-            )
-            .withColumn("coded", _concept(F.col("p_brand"), F.col("p_type")))
-            .withColumn("shipped", F.concat(F.date_format("shipdate", INSTANT), F.lit("+00:00")))
+        orders = self.table("orders").select("o_orderkey", "o_custkey")
+        return lines.join(self.table("part"), F.expr("partkey = p_partkey")).join(
+            orders, F.expr("l_orderkey = o_orderkey")
         )
 
+    _LINE_ID = "concat_ws('-', l_orderkey, l_linenumber)"
+    _SHIPPED = f"concat({_text('shipdate')}, '+00:00')"
+    _CODED = _concept("p_brand", "p_type")
+
     def condition(self, dirty: bool = False) -> DataFrame:
-        k, line = F.col("l_orderkey"), F.col("l_linenumber")
-        category = F.array(_concept(F.lit("encounter-diagnosis"), F.lit("Encounter Diagnosis")))
-        onset, code = F.col("shipped"), F.col("coded")
-        if dirty:
-            category = F.when((k + line) % 71 != 1, category)
-            onset = F.when((k + line) % 73 == 2, "2024-02-30").otherwise(onset)
-            code = F.when((k + line) % 67 != 3, code)
-        active = F.when(line % 2 == 0, "resolved").otherwise("active")
+        k, line = "(l_orderkey + l_linenumber)", "l_linenumber"
+        active = f"if({line} % 2 = 0, 'resolved', 'active')"
+        category = f"array({_concept("'encounter-diagnosis'", "'Diagnosis'")})"
+        broken = {
+            "category": f"if({k} % 71 = 1, NULL, {category})",
+            "onsetDateTime": f"if({k} % 73 = 2, '2024-02-30', {self._SHIPPED})",
+            "code": f"if({k} % 67 = 3, NULL, {self._CODED})",
+        }
         return self._shaped(
-            self._lines().select(
-                "id",
-                _concept(active, active).alias("clinicalStatus"),
-                _concept(F.lit("confirmed"), F.lit("Confirmed")).alias("verificationStatus"),
-                category.alias("category"),
-                code.alias("code"),
-                "subject",
-                "encounter",
-                onset.alias("onsetDateTime"),
-                F.when(
-                    line % 2 == 0,
-                    F.concat(F.date_format(F.col("shipdate") + F.expr("INTERVAL 10 DAYS"), INSTANT), F.lit("Z")),
-                ).alias("abatementDateTime"),
-                F.date_format("shipdate", "yyyy-MM-dd").alias("recordedDate"),
-            ),
+            self._lines(),
             "Condition",
+            broken if dirty else None,
+            id=self._LINE_ID,
+            clinicalStatus=_concept(active, active),
+            verificationStatus=_concept("'confirmed'", "'Confirmed'"),
+            category=category,
+            code=self._CODED,
+            subject=_reference("urn:uuid:", "o_custkey"),
+            encounter=_reference("Encounter/", "l_orderkey"),
+            onsetDateTime=self._SHIPPED,
+            abatementDateTime=f"if({line} % 2 = 0, concat({_text('shipdate + INTERVAL 10 DAYS')}, 'Z'), NULL)",
+            recordedDate="date_format(shipdate, 'yyyy-MM-dd')",
         )
 
     def procedure(self, dirty: bool = False) -> DataFrame:
-        k, line = F.col("l_orderkey"), F.col("l_linenumber")
-        end = F.col("shipdate") + F.make_interval(hours=line)
-        ended = F.concat(F.date_format(end, INSTANT), F.lit("Z"))
-        status = F.lit("completed")
-        if dirty:
-            ended = F.when((k + line) % 61 == 5, "2024-01-01T25:00:00Z").otherwise(ended)
-            status = F.when((k + line) % 59 != 6, status)
+        k, line = "(l_orderkey + l_linenumber)", "l_linenumber"
+        end = f"concat({_text(f'shipdate + make_interval(0, 0, 0, 0, CAST({line} AS INT))')}, 'Z')"
+        bad_end = f"if({k} % 61 = 5, '2024-01-01T25:00:00Z', {end})"
+        broken = {
+            "performedPeriod": f"named_struct('start', {self._SHIPPED}, 'end', {bad_end})",
+            "status": f"if({k} % 59 = 6, NULL, 'completed')",
+        }
         return self._shaped(
-            self._lines().select(
-                "id",
-                status.alias("status"),
-                F.col("coded").alias("code"),
-                "subject",
-                "encounter",
-                F.lit(None).cast("string").alias("performedDateTime"),
-                F.struct(F.col("shipped").alias("start"), ended.alias("end")).alias(
-                    "performedPeriod"
-                ),
-                F.when(line % 3 == 0, F.array(F.col("coded"))).alias("reasonCode"),
-            ),
+            self._lines(),
             "Procedure",
+            broken if dirty else None,
+            id=self._LINE_ID,
+            status="'completed'",
+            code=self._CODED,
+            subject=_reference("urn:uuid:", "o_custkey"),
+            encounter=_reference("Encounter/", "l_orderkey"),
+            performedDateTime="NULL",
+            performedPeriod=f"named_struct('start', {self._SHIPPED}, 'end', {end})",
+            reasonCode=f"if({line} % 3 = 0, array({self._CODED}), NULL)",
         )
 
     def medication_request(self) -> DataFrame:
         return self._shaped(
-            self._lines().select(
-                "id",
-                F.lit("active").alias("status"),
-                F.lit("order").alias("intent"),
-                F.col("coded").alias("medicationCodeableConcept"),
-                "subject",
-                "encounter",
-                F.col("shipped").alias("authoredOn"),
-                F.struct(F.concat(F.lit("Practitioner/"), F.col("suppkey")).alias("reference")).alias(
-                    "requester"
-                ),
-            ),
+            self._lines(),
             "MedicationRequest",
+            None,
+            id=self._LINE_ID,
+            status="'active'",
+            intent="'order'",
+            medicationCodeableConcept=self._CODED,
+            subject=_reference("urn:uuid:", "o_custkey"),
+            encounter=_reference("Encounter/", "l_orderkey"),
+            authoredOn=self._SHIPPED,
+            requester=_reference("Practitioner/", "suppkey"),
         )
 
     def observation(self) -> DataFrame:
-        k, kind = F.col("event_id"), F.col("event_type")
-        whole = F.concat(F.date_format("ts", INSTANT), F.lit("Z"))
-        with_fraction = F.concat(F.date_format("ts", INSTANT + ".SSSSSS"), F.lit("Z"))
-        quantity = F.struct(F.col("value").alias("value"), F.lit("USD").alias("unit"))
-        concept = _concept(kind, F.upper(kind))
+        k, kind = "event_id", "event_type"
+        quantity = "named_struct('value', value, 'unit', 'USD')"
+        concept = _concept(kind, f"upper({kind})")
+        pattern = f"if({k} % 50 = 0, '{_INSTANT}.SSSSSS', '{_INSTANT}')"
         return self._shaped(
-            self.table("events").select(
-                k.cast("string").alias("id"),
-                F.lit("final").alias("status"),
-                F.array(_concept(F.lit("survey"), F.lit("Survey"))).alias("category"),
-                concept.alias("code"),
-                F.struct(
-                    _patient_reference(k, F.col("user_id").cast("string")).alias("reference")
-                ).alias("subject"),
-                F.struct(F.concat(F.lit("Encounter/"), k.cast("string")).alias("reference")).alias(
-                    "encounter"
-                ),
-                F.when(k % 50 == 0, with_fraction).otherwise(whole).alias("effectiveDateTime"),
-                F.when(kind.isin("purchase", "signup"), quantity).alias("valueQuantity"),
-                F.when(kind == "view", concept).alias("valueCodeableConcept"),
-                F.when(kind == "click", F.col("props")).alias("valueString"),
-                F.when(
-                    kind == "error",
-                    F.array(F.struct(concept.alias("code"), quantity.alias("valueQuantity"))),
-                ).alias("component"),
-            ),
+            self.table("events"),
             "Observation",
+            None,
+            id=k,
+            status="'final'",
+            category=f"array({_concept("'survey'", "'Survey'")})",
+            code=concept,
+            subject=_patient_reference(k, "user_id"),
+            encounter=_reference("Encounter/", k),
+            effectiveDateTime=f"concat(date_format(ts, {pattern}), 'Z')",
+            valueQuantity=f"if({kind} IN ('purchase', 'signup'), {quantity}, NULL)",
+            valueCodeableConcept=f"if({kind} = 'view', {concept}, NULL)",
+            valueString=f"if({kind} = 'click', props, NULL)",
+            component=f"""if({kind} = 'error',
+                array(named_struct('code', {concept}, 'valueQuantity', {quantity})), NULL)""",
         )
 
     def organization(self, dirty: bool = False) -> DataFrame:
-        k = F.col("n_nationkey")
-        name = F.when(k % 7 != 3, F.col("n_name")) if dirty else F.col("n_name")
-        sites = self.table("nation").join(
-            self.table("region"), F.col("n_regionkey") == F.col("r_regionkey")
-        )
+        k = "n_nationkey"
         return self._shaped(
-            sites.select(
-                k.cast("string").alias("id"),
-                name.alias("name"),
-                F.array(_concept(F.lit("prov"), F.lit("Healthcare Provider"))).alias("type"),
-                F.array(
-                    F.struct(
-                        F.array(F.concat(F.lit("Main Street "), k.cast("string"))).alias("line"),
-                        F.col("n_name").alias("city"),
-                        F.col("r_name").alias("state"),
-                        F.lpad(k.cast("string"), 5, "0").alias("postalCode"),
-                        F.lit("US").alias("country"),
-                    )
-                ).alias("address"),
-                F.array(
-                    F.struct(
-                        F.lit("phone").alias("system"),
-                        F.concat(F.lit("555-"), k.cast("string")).alias("value"),
-                    )
-                ).alias("telecom"),
-            ),
+            self._sites(),
             "Organization",
+            {"name": f"if({k} % 7 = 3, NULL, n_name)"} if dirty else None,
+            id=k,
+            name="n_name",
+            type=f"array({_concept("'prov'", "'Healthcare Provider'")})",
+            address=_address(f"concat('Main Street ', {k})", f"lpad(CAST({k} AS STRING), 5, '0')"),
+            telecom=f"array(named_struct('system', 'phone', 'value', concat('555-', {k})))",
         )
 
     def practitioner(self, dirty: bool = False) -> DataFrame:
-        k = F.col("s_suppkey")
-        phone = F.struct(F.lit("phone").alias("system"), F.lit("555").alias("value"))
-        email = F.struct(
-            F.lit("email").alias("system"),
-            F.concat(F.lit("p"), k.cast("string"), F.lit("@example.org")).alias("value"),
-        )
-        telecom = F.when(k % 3 > 0, F.array(phone, email)).otherwise(F.array(phone))
-        name = F.array(
-            F.struct(
-                F.col("s_name").alias("family"),
-                F.array(F.concat(F.lit("Given"), k.cast("string"))).alias("given"),
-                F.array(F.lit("Dr.")).alias("prefix"),
-            )
-        )
-        if dirty:
-            telecom = F.when(k % 17 != 4, telecom)
-            name = F.when(k % 19 != 5, name)
-        sites = (
-            self.table("supplier")
-            .join(self.table("nation"), F.col("s_nationkey") == F.col("n_nationkey"))
-            .join(self.table("region"), F.col("n_regionkey") == F.col("r_regionkey"))
-        )
+        k = "s_suppkey"
+        telecom = f"""slice(array(
+            named_struct('system', 'phone', 'value', '555'),
+            named_struct('system', 'email', 'value', concat('p', {k}, '@example.org'))), 1, if({k} % 3 > 0, 2, 1))"""
+        name = f"""array(named_struct('family', s_name, 'given', array(concat('Given', {k})),
+                                      'prefix', array('Dr.')))"""
+        broken = {
+            "telecom": f"if({k} % 17 = 4, NULL, {telecom})",
+            "name": f"if({k} % 19 = 5, NULL, {name})",
+        }
         return self._shaped(
-            sites.select(
-                k.cast("string").alias("id"),
-                name.alias("name"),
-                F.when(k % 2 == 0, "female").otherwise("male").alias("gender"),
-                F.array(
-                    F.struct(
-                        F.array(F.lit("Clinic")).alias("line"),
-                        F.col("n_name").alias("city"),
-                        F.col("r_name").alias("state"),
-                        F.lit("00000").alias("postalCode"),
-                        F.lit("US").alias("country"),
-                    )
-                ).alias("address"),
-                telecom.alias("telecom"),
-            ),
+            self.table("supplier").join(self._sites(), F.expr("s_nationkey = n_nationkey")),
             "Practitioner",
+            broken if dirty else None,
+            id=k,
+            name=name,
+            gender=f"if({k} % 2 = 0, 'female', 'male')",
+            address=_address("'Clinic'", "'00000'"),
+            telecom=telecom,
         )
 
     def document_reference(self) -> DataFrame:
         """Documents as notes; about seven documents refer to each of the first patients."""
-        patients = self.table("customer").agg(
-            F.greatest(F.lit(1), F.floor(F.count(F.lit(1)) / 10))
-        ).scalar()
-        k = F.col("doc_id")
-        reference = _patient_reference(k, (k % patients).cast("string"))
-        data = F.base64(F.encode(F.col("text"), "UTF-8"))
+        patients = self.table("customer").agg(F.expr("greatest(1, floor(count(1) / 10))")).scalar()
+        documents = self.table("documents").withColumn("patient", F.col("doc_id") % patients)
+        k = "doc_id"
+        data = "base64(encode(text, 'UTF-8'))"
         return self._shaped(
-            self.table("documents").select(
-                k.cast("string").alias("id"),
-                F.struct(reference.alias("reference")).alias("subject"),
-                F.date_add(F.lit("2024-01-01").cast("date"), (k % 365).cast("int"))
-                .cast("string")
-                .alias("date"),
-                F.array(
-                    F.struct(
-                        F.struct(
-                            F.lit("text/plain").alias("contentType"), data.alias("data")
-                        ).alias("attachment")
-                    )
-                ).alias("content"),
-            ),
+            documents,
             "DocumentReference",
+            None,
+            id=k,
+            subject=_patient_reference(k, "patient"),
+            date=f"CAST(date_add(DATE '2024-01-01', CAST({k} % 365 AS INT)) AS STRING)",
+            content=f"""array(named_struct('attachment',
+                named_struct('contentType', 'text/plain', 'data', {data})))""",
         )
 
     def _last_before(self, run_at: str, key: Column) -> DataFrame:
@@ -429,45 +394,3 @@ class Records:
                 F.lit(run_at).cast("timestamp"),
             )
         return state
-
-    def by_name(self, dirty: bool = False) -> dict[str, DataFrame]:
-        return {
-            "Patient": self.patient(dirty),
-            "Encounter": self.encounter(dirty),
-            "Condition": self.condition(dirty),
-            "Procedure": self.procedure(dirty),
-            "Observation": self.observation(),
-            "MedicationRequest": self.medication_request(),
-            "DocumentReference": self.document_reference(),
-            "Organization": self.organization(dirty),
-            "Practitioner": self.practitioner(dirty),
-        }
-
-
-def _concept(code: Column, display: Column) -> Column:
-    coding = F.struct(
-        F.lit("http://example.org/codes").alias("system"),
-        code.alias("code"),
-        display.alias("display"),
-    )
-    return F.struct(F.array(coding).alias("coding"), display.alias("text"))
-
-
-def _extension(url: str, prefix: str, number: Column) -> Column:
-    code = F.concat(F.lit(prefix), number.cast("string"))
-    coding = F.struct(
-        F.lit("urn:oid:1").alias("system"),
-        code.alias("code"),
-        F.concat(F.lit("Group "), code).alias("display"),
-    )
-    inner = F.struct(F.lit("ombCategory").alias("url"), coding.alias("valueCoding"))
-    return F.struct(F.lit(url).alias("url"), F.array(inner).alias("extension"))
-
-
-def _zone(key: Column) -> Column:
-    return F.when(key % 2 == 0, "Z").otherwise("+00:00")
-
-
-def _patient_reference(key: Column, patient: Column) -> Column:
-    prefix = F.when(key % 2 == 0, "Patient/").otherwise("urn:uuid:")
-    return F.concat(prefix, patient)

@@ -33,7 +33,7 @@ from ..sources.catalogue import RESOURCES
 from ..sources.ndjson import read_lines, read_ndjson
 from ..sources.provenance import add_provenance, ingest
 from ..sources.schemas import declared_schema
-from .fixtures import RUNS, Records
+from .fixtures import NAMES, RUNS, Records
 from .medallion import Medallion
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -211,9 +211,8 @@ def quarantined_encounters(r):
 
 @query
 def validation_summary(r):
-    dirty = r.by_name(dirty=True)
     parts = [
-        validation.summary(dirty[name], contract).withColumn("resource_type", F.lit(name))
+        validation.summary(r.records(name, dirty=True), contract).withColumn("resource_type", F.lit(name))
         for name, contract in CONTRACTS.items()
     ]
     return reduce(DataFrame.unionByName, parts)
@@ -225,10 +224,9 @@ def validation_summary(r):
 def _as_files(r: Records, names: tuple[str, ...], dirty: bool = False) -> str:
     """The records as gzipped NDJSON below a scratch folder, named like the catalogue's globs."""
     root = scratch_dir(r.spark, "ndjson")
-    records = r.by_name(dirty)
     for name in names:
         folder = RESOURCES[name].file_glob.replace("*", "1")
-        body = records[name].select(*[f.name for f in declared_schema(name)])
+        body = r.records(name, dirty).select(*[f.name for f in declared_schema(name)])
         body.write.option("compression", "gzip").json(f"{root}/{folder}")
     return root
 
@@ -502,9 +500,9 @@ def dq_expression(r):
 @query
 def dq_report(r):
     """Every declared test over a full run from files, with contract violations in them."""
-    source = _as_files(r, tuple(r.by_name()), dirty=True)
+    source = _as_files(r, NAMES, dirty=True)
     job = Medallion(r.spark, scratch_dir(r.spark, "run"))
-    job.run(source, "2002-01-01", "bronze_test", names=tuple(r.by_name()))
+    job.run(source, "2002-01-01", "bronze_test", names=NAMES)
     return job.check()
 
 
@@ -631,7 +629,7 @@ def evidence_bundle(r):
 @query
 def profile_counts(r):
     return profiling.record_counts(
-        {**r.by_name(), "SupplyDelivery": r.table("part")}
+        {**{name: r.records(name) for name in NAMES}, "SupplyDelivery": r.table("part")}
     )
 
 
@@ -684,7 +682,7 @@ def _raw_lines(r: Records) -> DataFrame:
     for name in ("Patient", "Encounter", "Observation"):
         fields = [f.name for f in declared_schema(name)]
         parts.append(
-            r.by_name()[name].select(
+            r.records(name).select(
                 F.lit(f"{name}.ndjson").alias("file_name"),
                 F.lit(name).alias("resource_type"),
                 F.to_json(F.struct(*fields)).alias("line"),

@@ -14,6 +14,9 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
 }
+# Can only be set when the session starts. Call-site capture costs several driver round trips
+# per column expression.
+START_SETTINGS = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
 
 
 def build_session(app_name: str = "recurra", master: str | None = None, **extra: str) -> SparkSession:
@@ -21,7 +24,7 @@ def build_session(app_name: str = "recurra", master: str | None = None, **extra:
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    for key, value in {**SETTINGS, **extra}.items():
+    for key, value in {**SETTINGS, **START_SETTINGS, **extra}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
