@@ -132,58 +132,69 @@ def top_conditions(conditions: DataFrame, n: int = 10) -> DataFrame:
 _WIDTHS = (86_400_000_000, 1_000_000, 1)
 
 
-def exact_median(values: DataFrame, micros: str) -> DataFrame:
-    """The true median of a microsecond column as one row ``median_micros``.
+def exact_medians(values: DataFrame, group: str, micros: str) -> dict[str, float]:
+    """The true median of a microsecond column per group, for a handful of groups.
 
-    Exact without a global sort: a histogram by day tells which day holds the middle ranks, one
-    by second within that day and one by microsecond within that second give the values. Each
-    histogram is bounded by its step, whatever the number of rows.
+    Exact without a global sort or a group in one task: a histogram by day tells which day holds
+    the middle ranks, one by second within that day and one by microsecond within that second
+    give the values. Each histogram is bounded by its step whatever the number of rows, and only
+    the two middle cells per group come back to steer the next pass.
     """
-    values = values.select(F.col(micros).alias("v")).filter("v IS NOT NULL")
-    total = values.agg(F.count(F.lit(1)).alias("n"))
-    # Both middle ranks, counted from zero; the same one twice for an odd number of rows.
-    targets = total.filter("n > 0").select(
-        F.lit(0).cast("long").alias("cell"),
-        F.explode(F.array(F.floor((F.col("n") - 1) / 2), F.floor(F.col("n") / 2))).alias("rank"),
-    )
-    inside = values.withColumn("cell", F.lit(0).cast("long"))
+    values = values.select(F.col(group).alias("g"), F.col(micros).alias("v")).filter("v IS NOT NULL")
+    sizes = values.groupBy("g").agg(F.count(F.lit(1)).alias("n")).collect()
+    # Middle ranks counted from zero, as (group, cell, rank in cell); one cell holds everything.
+    wanted = {(r.g, None, rank) for r in sizes for rank in ((r.n - 1) // 2, r.n // 2)}
+    outer = None
     for width in _WIDTHS:
-        finer = F.floor(F.col("v") / width) if width > 1 else F.col("v")
-        cells = F.broadcast(targets.select("cell").distinct())
+        inside = F.lit(False)
+        for g, cell in {(g, cell) for g, cell, _ in wanted}:
+            here = F.lit(True) if outer is None else F.floor(F.col("v") / outer) == cell
+            inside = inside | ((F.col("g") == g) & here)
+        cell = F.lit(0) if outer is None else F.floor(F.col("v") / outer)
         histogram = (
-            inside.join(cells, "cell", "left_semi")
-            .groupBy("cell", finer.alias("finer"))
+            values.filter(inside)
+            .groupBy("g", cell.alias("cell"), F.floor(F.col("v") / width).alias("finer"))
             .agg(F.count(F.lit(1)).alias("rows"))
         )
-        upto = F.sum("rows").over(Window.partitionBy("cell").orderBy("finer"))
-        ranked = histogram.withColumn("after", upto)
-        hit = (F.col("rank") >= F.col("after") - F.col("rows")) & (F.col("rank") < F.col("after"))
-        targets = (
-            ranked.join(F.broadcast(targets), "cell")
-            .filter(hit)
-            .select(
-                F.col("finer").alias("cell"),
-                (F.col("rank") - F.col("after") + F.col("rows")).alias("rank"),
-            )
-        )
-        inside = values.withColumn("cell", finer)
-    return targets.agg((F.sum("cell") / F.lit(2)).alias("median_micros"))
+        upto = F.sum("rows").over(Window.partitionBy("g", "cell").orderBy("finer"))
+        ranked = histogram.withColumn("after", upto).withColumn("before", F.expr("after - rows"))
+        hit = F.lit(False)
+        for g, outer_cell, rank in wanted:
+            same = F.col("cell") == (0 if outer_cell is None else outer_cell)
+            reached = (F.col("before") <= rank) & (F.col("after") > rank)
+            hit = hit | ((F.col("g") == g) & same & reached)
+        found = ranked.filter(hit).collect()
+        wanted = {
+            (g, r.finer, rank - r.before)
+            for g, outer_cell, rank in wanted
+            for r in found
+            if r.g == g
+            and r.cell == (0 if outer_cell is None else outer_cell)
+            and r.before <= rank < r.after
+        }
+        outer = width
+    middles: dict[str, list[int]] = {}
+    for g, value, _ in wanted:
+        middles.setdefault(g, []).append(value)
+    return {g: sum(v) / len(v) for g, v in middles.items()}
 
 
 def period_statistics(encounters: DataFrame) -> DataFrame:
     """Earliest, latest and median start and end; malformed times are skipped."""
-    rows = []
-    for name in ("start", "end"):
-        times = encounters.select(F.unix_micros(parse_iso(f"period.{name}")).alias("v"))
-        bounds = times.agg(F.min("v").alias("lo"), F.max("v").alias("hi"))
-        rows.append(
-            bounds.select(
-                F.lit(name).alias("period_field"),
-                F.timestamp_micros("lo").alias("earliest"),
-                F.timestamp_micros("hi").alias("latest"),
-                F.timestamp_micros(
-                    exact_median(times, "v").scalar().cast("long")
-                ).alias("median"),
-            )
-        )
-    return rows[0].unionByName(rows[1])
+    fields = ("start", "end")
+    pairs = [
+        F.struct(F.lit(f).alias("g"), F.unix_micros(parse_iso(f"period.{f}")).alias("v"))
+        for f in fields
+    ]
+    times = encounters.select(F.inline(F.array(*pairs)))
+    medians = exact_medians(times, "g", "v")
+    median = F.lit(None).cast("long")
+    for name, value in medians.items():
+        median = F.when(F.col("g") == name, F.lit(int(value))).otherwise(median)
+    bounds = times.groupBy("g").agg(F.min("v").alias("lo"), F.max("v").alias("hi"))
+    return bounds.select(
+        F.col("g").alias("period_field"),
+        F.timestamp_micros("lo").alias("earliest"),
+        F.timestamp_micros("hi").alias("latest"),
+        F.timestamp_micros(median).alias("median"),
+    )

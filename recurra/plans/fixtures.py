@@ -13,8 +13,10 @@ from pyspark.sql import types as T
 
 from ..operators import silver
 from ..operators.scd2 import CHECKED_COLUMNS, merge_snapshot
+from ..session import scratch_dir
 from ..sources.provenance import add_provenance
 from ..sources.schemas import declared_schema
+from ..sources.tables import write_table
 
 # Days of the snapshot runs; orders fall before, between and after them.
 RUNS = ("1997-01-01", "1999-01-01", "2001-01-01")
@@ -56,6 +58,10 @@ def _reference(prefix: str, key: str) -> str:
     return f"named_struct('reference', concat('{prefix}', CAST({key} AS STRING)))"
 
 
+def _without_lineage(flat: DataFrame) -> DataFrame:
+    return flat.select(*[c for c in flat.columns if not c.startswith("_bronze")])
+
+
 class Records:
     """Nested records over one folder of test tables."""
 
@@ -350,7 +356,9 @@ class Records:
         not, follows its day.
         """
         seen = self._last_before(run_at, F.col("o_custkey"))
-        listed = silver.patient(self.patient()).join(seen, F.col("patient_id") == F.col("key"))
+        listed = _without_lineage(silver.patient(self.patient())).join(
+            seen, F.col("patient_id") == F.col("key")
+        )
         code = F.concat_ws("/", "marital_status_code", F.nullif("last.status", F.lit("P")))
         code = F.when(F.col("last.status") != "P", code)
         return (
@@ -362,7 +370,7 @@ class Records:
     def organization_as_of(self, run_at: str) -> DataFrame:
         """Flat organizations whose name carries the status of their last order."""
         seen = self._last_before(run_at, F.col("o_custkey") % 25)
-        listed = silver.organization(self.organization()).join(
+        listed = _without_lineage(silver.organization(self.organization())).join(
             seen, F.col("organization_id") == F.col("key")
         )
         return listed.withColumn("name", F.concat_ws(" ", "name", "last.status")).drop("key", "last")
@@ -376,21 +384,24 @@ class Records:
             .groupBy(F.col("l_suppkey").cast("string").alias("key"))
             .agg(F.max(line).alias("last"))
         )
-        listed = silver.practitioner(self.practitioner()).join(
+        listed = _without_lineage(silver.practitioner(self.practitioner())).join(
             seen, F.col("practitioner_id") == F.col("key")
         )
         return listed.withColumn("given_name", F.col("last.l_returnflag")).drop("key", "last")
 
     def history(self, entity: str) -> DataFrame:
-        """Snapshot state of an entity after all runs."""
+        """Snapshot state of an entity after all runs, each run's state written as a table."""
         listed = getattr(self, f"{entity}_as_of")
+        root = scratch_dir(self.spark, f"{entity}-history")
         state = None
         for run_at in RUNS:
-            state = merge_snapshot(
+            merged = merge_snapshot(
                 state,
                 listed(run_at),
                 f"{entity}_id",
                 CHECKED_COLUMNS[entity],
                 F.lit(run_at).cast("timestamp"),
             )
+            write_table(merged, f"{root}/{run_at}")
+            state = self.spark.read.schema(merged.schema).parquet(f"{root}/{run_at}")
         return state

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -69,12 +70,14 @@ def plain(df: DataFrame) -> DataFrame:
 
 
 class Star:
-    """Flat tables and star schema over the records, built lazily."""
+    """Flat tables and star schema over the records; only the histories are stored."""
 
     def __init__(self, records: Records):
         self.encounter = silver.encounter(records.encounter())
-        self.dim_patient = dimensions.dim_patient(records.history("patient"))
-        self.dim_organization = dimensions.dim_organization(records.history("organization"))
+        with ThreadPoolExecutor(2) as pool:
+            patients, organizations = pool.map(records.history, ("patient", "organization"))
+        self.dim_patient = dimensions.dim_patient(patients)
+        self.dim_organization = dimensions.dim_organization(organizations)
         self.dim_date = dimensions.dim_date(records.spark)
         self.fact_encounter = facts.fact_encounter(
             self.encounter, self.dim_patient, self.dim_organization

@@ -43,12 +43,14 @@ def test_exact_median_against_brute_force(spark, size):
     draw = random.Random(size)
     # A third of the values are equal, some are negative.
     values = [5_000_000 if i % 3 == 0 else draw.randrange(-(10**12), 10**13) for i in range(size)]
-    df = spark.createDataFrame([(v,) for v in [*values, None]], "v long")
-    assert profiling.exact_median(df, "v").first().median_micros == statistics.median(values)
+    rows = [("a", v) for v in [*values, None]] + [("b", v) for v in values[: size // 2]]
+    got = profiling.exact_medians(spark.createDataFrame(rows, "k string, v long"), "k", "v")
+    assert got["a"] == statistics.median(values)
+    assert got.get("b") == (statistics.median(values[: size // 2]) if size > 1 else None)
 
 
 def test_median_of_nothing(spark):
-    assert profiling.exact_median(spark.createDataFrame([], "v long"), "v").first().median_micros is None
+    assert profiling.exact_medians(spark.createDataFrame([], "k string, v long"), "k", "v") == {}
 
 
 def test_patients(spark, tmp_path):
