@@ -66,6 +66,7 @@ class Records:
     """Nested records over one folder of test tables."""
 
     _schemas: dict[str, T.StructType] = {}
+    _histories: dict[tuple[str, str, str], DataFrame] = {}
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
@@ -405,3 +406,13 @@ class Records:
             write_table(merged, f"{root}/{run_at}")
             state = self.spark.read.schema(merged.schema).parquet(f"{root}/{run_at}")
         return state
+
+    def stored_history(self, entity: str) -> DataFrame:
+        """The same state, built once per session and folder and then read as a stored table.
+
+        Facts and profiles are built on a history that earlier snapshot runs have left behind.
+        """
+        at = (self.spark.sparkContext.applicationId, self.folder, entity)
+        if at not in self._histories:
+            self._histories[at] = self.history(entity)
+        return self._histories[at]

@@ -70,12 +70,12 @@ def plain(df: DataFrame) -> DataFrame:
 
 
 class Star:
-    """Flat tables and star schema over the records; only the histories are stored."""
+    """Flat tables and star schema over the records, built lazily on stored histories."""
 
     def __init__(self, records: Records):
         self.encounter = silver.encounter(records.encounter())
         with ThreadPoolExecutor(2) as pool:
-            patients, organizations = pool.map(records.history, ("patient", "organization"))
+            patients, organizations = pool.map(records.stored_history, ("patient", "organization"))
         self.dim_patient = dimensions.dim_patient(patients)
         self.dim_organization = dimensions.dim_organization(organizations)
         self.dim_date = dimensions.dim_date(records.spark)
@@ -412,7 +412,7 @@ def dim_condition(r):
 @query
 def asof_patient_version(r):
     visits = silver.encounter(r.encounter()).select("encounter_id", "patient_id", "start_time")
-    versions = dimensions.dim_patient(r.history("patient")).select(
+    versions = dimensions.dim_patient(r.stored_history("patient")).select(
         "patient_id", "patient_key", "valid_from", "valid_to", "marital_status_code"
     )
     return asof_join(visits, versions, "patient_id", "start_time")
@@ -421,7 +421,7 @@ def asof_patient_version(r):
 @query
 def current_org_join(r):
     visits = silver.encounter(r.encounter()).select("encounter_id", "service_provider_id")
-    versions = dimensions.dim_organization(r.history("organization"))
+    versions = dimensions.dim_organization(r.stored_history("organization"))
     return facts.join_current(
         visits, versions, "service_provider_id", "organization_id", "organization_key", "name"
     )
