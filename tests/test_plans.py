@@ -86,6 +86,7 @@ def test_whole_job_over_two_runs(spark, tmp_path, monkeypatch):
     assert len(report.loads) == 14 and all(r.row_count for r in report.loads)
     checked = {v.bronze_table.rsplit("/", 1)[1]: v for v in report.validations}
     assert (checked["encounter"].valid_rows, checked["encounter"].quarantine_rows) == (2, 1)
+    assert [r.id for r in one.valid("encounter", is_valid=False).collect()] == ["bad"]
     assert one.read("bronze", "claim").first().total.value == 1.5
     # Its only record is a stub without a patient.
     failed = {(r.table_name, r.column_name) for r in one.check().filter("status = 'fail'").collect()}
