@@ -247,8 +247,9 @@ PARTS |= {
         FROM condition WHERE snomed_code IS NOT NULL GROUP BY snomed_code""",
     "dim_date": """
         SELECT CAST(strftime(d, '%Y%m%d') AS INT) AS date_key, CAST(d AS DATE) AS full_date,
-               year(d) AS year, quarter(d) AS quarter, month(d) AS month, strftime(d, '%B') AS month_name,
-               day(d) AS day_of_month, dayofweek(d) + 1 AS day_of_week, strftime(d, '%A') AS day_name,
+               CAST(year(d) AS INT) AS year, CAST(quarter(d) AS INT) AS quarter, CAST(month(d) AS INT) AS month,
+               strftime(d, '%B') AS month_name, CAST(day(d) AS INT) AS day_of_month,
+               CAST(dayofweek(d) + 1 AS INT) AS day_of_week, strftime(d, '%A') AS day_name,
                dayofweek(d) IN (0, 6) AS is_weekend
         FROM (SELECT unnest(range(TIMESTAMP '1900-01-01', TIMESTAMP '2030-01-01', INTERVAL 1 DAY)) AS d)""",
     "fact_encounter": """
@@ -497,7 +498,7 @@ def _period(name: str, column: str, only: str) -> str:
 
 _TOPK = f"""
     SELECT {{group}}, {{item}}, round(distance, 6) AS distance,
-           row_number() OVER (PARTITION BY {{group}} ORDER BY distance, {{item}}) AS rank
+           CAST(row_number() OVER (PARTITION BY {{group}} ORDER BY distance, {{item}}) AS INT) AS rank
     FROM ({{pairs}}) QUALIFY rank <= {{k}}"""
 
 _NOTE_VECTOR = """

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from ..functions.keys import row_hash
 from .ndjson import read_ndjson
-from .tables import write_table
+from .tables import stored_schema, write_table
 
 PROVENANCE_COLUMNS = ("_load_ts", "_source_file", "_row_hash", "_ingestion_run_id")
 
@@ -45,6 +45,10 @@ def add_provenance(df: DataFrame, run_id: str, load_ts: Column | None = None) ->
     )
 
 
+def _shape(schema: T.StructType) -> dict[str, str]:
+    return {f.name: f.dataType.simpleString() for f in schema}
+
+
 def ingest(
     spark: SparkSession,
     source_path: str,
@@ -52,14 +56,19 @@ def ingest(
     run_id: str | None = None,
     schema: T.StructType | None = None,
     spread: int | None = None,
+    overwrite_schema: bool = False,
 ) -> LoadResult:
     """Load one resource type into its bronze table.
 
-    Rows are counted while they are written; the table is not read again for it.
+    The columns stored by the first load must stay the same unless ``overwrite_schema``. Rows are
+    counted while they are written; the table is not read again for it.
     """
     run_id = run_id or new_run_id()
     counted = Observation()
     rows = add_provenance(read_ndjson(spark, source_path, schema, spread), run_id)
+    stored = stored_schema(spark, target_table)
+    if stored is not None and not overwrite_schema and _shape(stored) != _shape(rows.schema):
+        raise ValueError(f"columns of {target_table} differ from those of {source_path}")
     rows = rows.observe(counted, F.count(F.lit(1)).alias("rows"))
     write_table(rows, target_table)
     return LoadResult(target_table, source_path, run_id, counted.get["rows"])

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 
 def is_path(target: str) -> bool:
@@ -13,6 +15,14 @@ def read_table(spark: SparkSession, target: str) -> DataFrame:
     return spark.read.parquet(target) if is_path(target) else spark.table(target)
 
 
+def stored_schema(spark: SparkSession, target: str) -> T.StructType | None:
+    """Schema of a table, or None where there is none yet."""
+    try:
+        return read_table(spark, target).schema
+    except AnalysisException:
+        return None
+
+
 def write_table(df: DataFrame, target: str, partition_by: tuple[str, ...] = ()) -> None:
     """Replace the table. The same input twice leaves the same table.
 

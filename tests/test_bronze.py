@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from recurra.session import scratch_dir
@@ -46,14 +47,24 @@ def test_ingest_is_idempotent_and_counts_rows(spark, tmp_path):
     source.write_text("".join(json.dumps({"id": str(i), "extra": {"x": i}}) + "\n" for i in range(5)))
     target = scratch_dir(spark, "bronze")
     for schema, fields in ((None, {"id", "extra"}), (declared_schema("Patient"), {"id", "birthDate"})):
-        for _ in range(2):
-            result = ingest(spark, str(source), target, "r", schema, spread=3)
+        for first in (True, False):
+            result = ingest(spark, str(source), target, "r", schema, spread=3, overwrite_schema=first)
             table = read_table(spark, target)
             assert result.row_count == table.count() == 5
             assert fields <= set(table.columns)
             assert table.filter(F.col("_source_file").endswith("Patient.ndjson")).count() == 5
 
 
+def test_other_columns_are_refused_unless_asked_for(spark, tmp_path):
+    source, target = tmp_path / "x.ndjson", scratch_dir(spark, "bronze")
+    source.write_text('{"id": "1"}\n')
+    ingest(spark, str(source), target)
+    source.write_text('{"id": 1}\n')
+    with pytest.raises(ValueError, match="columns of"):
+        ingest(spark, str(source), target)
+    assert ingest(spark, str(source), target, overwrite_schema=True).row_count == 1
+
+
 def test_ingest_into_a_catalog_table(spark, tmp_path):
     source = tmp_path / "x.ndjson"
     source.write_text('{"id": "1"}\n')
