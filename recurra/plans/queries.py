@@ -31,7 +31,7 @@ from ..operators.contracts import CONTRACTS
 from ..operators.quality import Check
 from ..session import prepare, scratch_dir
 from ..sources.catalogue import RESOURCES
-from ..sources.ndjson import read_lines, read_ndjson
+from ..sources.ndjson import read_ndjson
 from ..sources.provenance import add_provenance, ingest
 from ..sources.schemas import declared_schema
 from .fixtures import NAMES, RUNS, Records
