@@ -1,11 +1,12 @@
 """SimHash near-duplicates, linked through a grid of segment bit counts.
 
-A 64-bit fingerprint is cut into 32 segments of two bits. The vector of bit counts per segment moves
-by at most one for every flipped bit, so the Manhattan distance of two such vectors never exceeds the
-Hamming distance of the fingerprints. Fingerprints within four bits therefore have vectors within
-four, and one half of the vector (16 segments) within two. Two half vectors within two share a grid
-point at most one step from either. Every fingerprint is entered at all grid points one step around
-its two half vectors; those that meet at a point are compared exactly.
+A half of a 64-bit fingerprint is cut into eight segments of two bits and 16 of one bit. The vector of
+bit counts per segment moves by at most one for every flipped bit, so the Manhattan distance of two
+such vectors never exceeds the Hamming distance. Fingerprints within four bits therefore have vectors
+within four, and in one half within two. Two half vectors within two share a grid point at most one
+step from either. Every fingerprint is entered at all grid points one step around its two half
+vectors; those that meet at a point are compared exactly. (Two-bit segments alone make chance
+meetings 16 times as frequent, and these grow with the square of the rows.)
 
 A grid point may be crowded by near copies. What is sent on from a point is a forest of links (never
 all pairs), and points above ``crowd`` members are worked off as pairs of blocks in separate tasks.
@@ -29,8 +30,7 @@ from recurra.llm.components import connected_components
 SEED = 42
 SHINGLE = 4
 CHUNK = 1 << 16
-FIELDS = 0x55555555
-HALF = 16
+FIELDS = 0x5555
 
 
 def fingerprint(text: bytes | None, shingle: int = SHINGLE) -> int:
@@ -70,20 +70,26 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 def _cells(prints: DataFrame) -> DataFrame:
     """Each distinct fingerprint at the grid points around its two half vectors."""
-    low, fields, places = F.lit((1 << 32) - 1), F.lit(FIELDS), F.sequence(F.lit(0), F.lit(HALF - 1))
+    fields = F.lit(FIELDS)
+
+    def counted(half: int):
+        bits = F.shiftrightunsigned("fp", 32 * half)
+        pairs = bits.bitwiseAND(fields) + F.shiftrightunsigned(bits, 1).bitwiseAND(fields)
+        return pairs + bits.bitwiseAND(F.lit(0xFFFF0000))
 
     def around(half: int):
         v, tag = F.col(f"v{half}"), F.lit(half << 32)
-        steps = F.transform(places, lambda k: F.expr("1L") * F.call_function("shiftleft", F.lit(1).cast("long"), 2 * k))
-        up = F.filter(steps, lambda s: v.bitwiseAND(s * 2) == 0)
-        down = F.filter(steps, lambda s: v.bitwiseAND(s * 3) != 0)
-        points = F.concat(F.array(v), F.transform(up, lambda s: v + s), F.transform(down, lambda s: v - s))
+        steps = lambda places: F.array(*(F.lit(1 << k) for k in places))
+        up = F.filter(steps(range(0, 16, 2)), lambda s: v.bitwiseAND(s * 2) == 0)
+        down = F.filter(steps(range(0, 16, 2)), lambda s: v.bitwiseAND(s * 3) != 0)
+        points = F.concat(
+            F.array(v),
+            F.transform(up, lambda s: v + s),
+            F.transform(down, lambda s: v - s),
+            F.transform(steps(range(16, 32)), lambda s: v.bitwiseXOR(s)),
+        )
         return F.transform(points, lambda p: p + tag)
 
-    def counted(half: int):
-        bits = F.shiftrightunsigned("fp", 32 * half).bitwiseAND(low)
-        return bits.bitwiseAND(fields) + F.shiftrightunsigned(bits, 1).bitwiseAND(fields)
-
     placed = prints.withColumns({"v0": counted(0), "v1": counted(1)})
     return placed.select(F.explode(F.concat(around(0), around(1))).alias("cell"), "fp")
 
