@@ -4,7 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from recurra.llm import simhash_dedup
+from recurra.llm import (
+    benchmark_leaks,
+    html_density,
+    markov_secrets,
+    pfair_mix,
+    quality_mcd,
+    ring_shards,
+    simhash_dedup,
+    weak_toxicity,
+)
 from recurra.llm.common import table
 
 QUERIES: dict = {}
@@ -21,3 +30,60 @@ def op6_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash_dedup.near_duplicates(table(spark, sf_dir, "documents"))
     digits = F.lower(F.lpad(F.hex("fp"), 16, "0"))
     return found.select("doc_id", digits.alias("fingerprint"), "component_id")
+
+
+@query
+def op9_ring_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = ring_shards.shard(table(spark, sf_dir, "documents"))
+    return placed.select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("bytes").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+        "home",
+    )
+
+
+@query
+def op2_pfair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pfair_mix.mix(table(spark, sf_dir, "documents")).drop("key")
+
+
+@query
+def op5_quality_mcd(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_mcd.judge(table(spark, sf_dir, "documents"))
+
+
+@query
+def op3_markov_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = markov_secrets.find(table(spark, sf_dir, "documents"))
+    joined = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+    base = F.filter("spans", lambda s: s["kind"] != "markov")
+    count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+    return found.select(
+        "doc_id",
+        count("assign").alias("n_assign"),
+        count("access").alias("n_access"),
+        count("hex").alias("n_hex"),
+        F.sha2(joined(base), 256).alias("base_sha256"),
+        joined(F.col("spans")).alias("spans"),
+    )
+
+
+@query
+def op8_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return benchmark_leaks.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op4_html_density(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = html_density.extract(table(spark, sf_dir, "pages"))
+    return text.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+@query
+def op10_weak_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return weak_toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
