@@ -27,10 +27,11 @@ MIN_WORDS = 50
 MAX_REPEATED = 50  # per cent of words in repeated three-word windows
 SCALE = 1024
 #: The transformed statistics and the spread (in their own units) below which none is estimated.
-STATISTICS = {"word_length": 0.12, "symbols": 0.15, "marks": 0.15, "capitals": 0.12, "dup_lines": 0.12, "repeats": 0.15}
+STATISTICS = {"word_length": 0.12, "symbols": 0.06, "marks": 0.08, "capitals": 0.12, "dup_lines": 0.15, "repeats": 0.2}
 #: Mean of the squared distance over the nearer half, against that over all, for six statistics.
-HALF_FACTOR = 1.72
-CUTOFF = 60.0
+HALF_FACTOR = 1.79
+#: Squared distance that one in a million normal vectors of six statistics exceeds.
+CUTOFF = 38.3
 
 
 def _let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -42,8 +43,9 @@ def _repeated_words(words: Column) -> Column:
     """Words inside three-word windows that occur twice or more."""
 
     def windows(w: Column) -> Column:
-        text = lambda i: F.concat_ws(" ", F.get(w, i), F.get(w, i + 1), F.get(w, i + 2))
-        return F.transform(F.sequence(F.lit(0), F.size(w) - 3), text)
+        # Null at the last two words.
+        text = lambda x, i: F.concat(x, F.lit(" "), F.get(w, i + 1), F.lit(" "), F.get(w, i + 2))
+        return F.transform(w, text)
 
     def covered(t: Column) -> Column:
         order = F.sort_array(F.transform(t, lambda x, i: F.struct(x.alias("t"), i.alias("i"))))
@@ -57,7 +59,7 @@ def _repeated_words(words: Column) -> Column:
         step = lambda a, p: F.struct((a["n"] + F.least(F.lit(3), p - a["last"])).alias("n"), p.alias("last"))
         return F.aggregate(_let(order, twice), none, step, lambda a: a["n"])
 
-    some = lambda t: F.when(F.size(F.array_distinct(t)) == F.size(t), 0).otherwise(covered(t))
+    some = lambda t: F.when(F.size(F.array_distinct(t)) == F.size(t) - 1, 0).otherwise(covered(t))
     return F.when(F.size(words) < 4, 0).otherwise(_let(windows(words), some))
 
 
@@ -65,17 +67,18 @@ def statistics(docs: DataFrame, text_col: str = "text", keep: tuple[str, ...] =
     """Word statistics of every row beside the columns named in ``keep``."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     lines = F.filter(F.split("text", "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
-    count = lambda pattern: F.length(F.regexp_replace("text", pattern, ""))
+    count = lambda c, pattern: F.length(F.regexp_replace(c, pattern, "")).cast("long")
     return (
         docs.select(*keep, text.alias("text"))
         .withColumn("words", F.array_remove(F.split("text", SPACE), ""))
+        .withColumn("marks", F.regexp_replace("text", r"[\p{L}\p{N}\x20\x09-\x0D]+", ""))
         .select(
             *keep,
             F.size("words").cast("long").alias("n_words"),
             F.length(F.array_join("words", "")).cast("long").alias("word_chars"),
-            count(r"[^#*$%&|<>]+").cast("long").alias("n_symbols"),
-            count(r"[\p{L}\p{N}\x20\x09-\x0D]+").cast("long").alias("n_marks"),
-            count(r"[^\p{Lu}]+").cast("long").alias("n_capitals"),
+            count("marks", r"[^#*$%&|<>]+").alias("n_symbols"),
+            F.length("marks").cast("long").alias("n_marks"),
+            count("text", r"[^\p{Lu}]+").alias("n_capitals"),
             F.size(lines).cast("long").alias("n_lines"),
             _let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines"),
             _repeated_words(F.col("words")).cast("long").alias("n_repeat_words"),
