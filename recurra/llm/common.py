@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gc
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from recurra.session import scratch_dir
@@ -59,3 +61,9 @@ def ranked(rows: DataFrame, group: str, order: list[Column], name: str, buckets:
         .withColumn(name, (F.col("_start") + F.col("_inside") - 1).cast("long"))
         .drop("_bucket", "_b", "_group", "_start", "_inside")
     )
+
+
+def release(spark: SparkSession) -> None:
+    """Let the driver drop the shuffle files of plans that nothing refers to any more."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()

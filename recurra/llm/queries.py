@@ -12,6 +12,7 @@ from recurra.llm import (
     quality_mcd,
     ring_shards,
     simhash_dedup,
+    suffix_dedup,
     weak_toxicity,
 )
 from recurra.llm.common import table
@@ -87,3 +88,16 @@ def op4_html_density(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_weak_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return weak_toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rest = suffix_dedup.without_repeats(table(spark, sf_dir, "documents"))
+    lengths = F.transform("removed", lambda r: r["end"] - r["start"])
+    return rest.select(
+        "doc_id",
+        "n_bytes",
+        F.aggregate(lengths, F.lit(0).cast("long"), lambda a, x: a + x).alias("n_removed"),
+        F.size("removed").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )

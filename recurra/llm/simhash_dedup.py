@@ -124,7 +124,8 @@ def links(prints: DataFrame, radius: int = 4, crowd: int = 1024) -> DataFrame:
     own = F.pmod(F.xxhash64("fp"), F.col("blocks"))
     other = F.expr("sequence(0L, blocks - 1)")
     dealt = (
-        cells.join(met, "cell")
+        # Broadcasting ``met`` would pay only while it is small, and it grows with the table.
+        cells.join(met.hint("merge"), "cell")
         .withColumn("blocks", blocks)
         .withColumn("own", own)
         .select("cell", "fp", "own", F.explode(other).alias("other"))
