@@ -148,8 +148,7 @@ def mix(
 def in_order(docs: DataFrame, **options) -> DataFrame:
     """``docs`` in the order of the mix: partitions follow the slots, rows within follow the places."""
     names = {k: options[k] for k in ("id_col", "text_col") if k in options}
-    places = mix(docs, **options).select(F.col("key").alias("_key"), F.col("slot").alias("_slot"), F.col("place").alias("_place"))
-    once = places.groupBy("_key").agg(F.min(F.struct("_slot", "_place")).alias("_at"))
-    joined = docs.withColumn("_key", row_key(**names)).join(once, "_key").withColumn("_slot", F.col("_at._slot"))
-    ordered = joined.repartitionByRange("_slot", "_key").sortWithinPartitions("_slot", F.col("_at._place"), "_key")
-    return ordered.drop("_key", "_at", "_slot")
+    places = mix(docs, **options).groupBy("key").agg(F.min(F.struct("slot", "place")).alias("at"))
+    keyed = docs.select(row_key(**names).alias("key"), F.struct("*").alias("row")).join(places, "key")
+    ordered = keyed.withColumn("slot", F.col("at.slot")).repartitionByRange("slot", "key")
+    return ordered.sortWithinPartitions("slot", "at.place", "key").select("row.*")

@@ -229,3 +229,11 @@ def judge(
     passed = judged.select(*columns, "d2", (F.col("d2") <= cutoff).alias("kept"))
     failed = counted.where("base_failed").select(*columns, F.lit(None).cast("double").alias("d2"), F.lit(False).alias("kept"))
     return passed.unionByName(failed)
+
+
+def keep_good(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", source_col: str = "source") -> DataFrame:
+    """The rows of ``docs`` that are kept; whole rows are stored beside their statistics, not shuffled."""
+    whole = docs.select(
+        F.col(text_col).alias("text"), F.col(lang_col).alias("lang"), F.col(source_col).alias("source"), F.struct("*").alias("row")
+    )
+    return judge(whole, keep=("row",)).where("kept").select("row.*")

@@ -13,9 +13,10 @@ from recurra.llm import (
     ring_shards,
     simhash_dedup,
     suffix_dedup,
+    warc_fixity,
     weak_toxicity,
 )
-from recurra.llm.common import table
+from recurra.llm.common import stored, table
 
 QUERIES: dict = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -101,3 +102,44 @@ def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size("removed").cast("long").alias("n_spans"),
         F.sha2("kept", 256).alias("kept_sha256"),
     )
+
+
+def _damaged(pages: DataFrame) -> DataFrame:
+    """A replica with one byte changed, the end cut off, a record lost or one too many, here and there."""
+    fate = F.pmod(F.col("page_id") * 7919, F.lit(100))
+    html = F.when(fate == 1, F.concat(F.lit("~"), F.substring("html", 2, 1 << 30))).when(fate == 2, F.expr("left(html, length(html) - 10)"))
+    kept = pages.where(fate != 3).withColumn("html", F.coalesce(html, F.col("html")))
+    return kept.union(pages.where(fate == 4).withColumn("page_id", F.col("page_id") + 1_000_000_000))
+
+
+@query
+def op7_warc_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    replicas = (stored(warc_fixity.leaves(warc_fixity.records(p)), "leaves") for p in (pages, _damaged(pages)))
+    return warc_fixity.audit(*replicas).withColumnRenamed("id", "page_id")
+
+
+ORACLE_SQL["op7_warc_fixity"] = r"""
+WITH fates AS (SELECT *, (page_id * 7919) % 100 AS fate FROM pages),
+replica AS (
+    SELECT page_id, url, CASE fate WHEN 1 THEN '~' || substring(html, 2) WHEN 2 THEN left(html, length(html) - 10) ELSE html END AS html
+    FROM fates WHERE fate <> 3
+    UNION ALL SELECT page_id + 1000000000, url, html FROM fates WHERE fate = 4),
+both_sides AS (SELECT 'p' AS side, page_id, url, html FROM pages UNION ALL SELECT 'r', page_id, url, html FROM replica),
+records AS (
+    SELECT side, page_id, page_id // 1024 AS file, page_id % 1024 AS position,
+        'WARC/1.0' || chr(13) || chr(10) || 'WARC-Type: response' || chr(13) || chr(10) || 'WARC-Target-URI: ' || url || chr(13) || chr(10)
+        || 'Content-Type: text/html' || chr(13) || chr(10) || 'Content-Length: ' || strlen(html) || chr(13) || chr(10) || chr(13) || chr(10)
+        || html || chr(13) || chr(10) || chr(13) || chr(10) AS record
+    FROM both_sides),
+leaves AS (
+    SELECT side, page_id, file, position, strlen(record) AS length, sha256(record) AS digest,
+        coalesce(sum(strlen(record)) OVER (PARTITION BY side, file ORDER BY page_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS "offset"
+    FROM records)
+SELECT coalesce(l.file, r.file) AS file, coalesce(l.position, r.position) AS position, coalesce(l.page_id, r.page_id) AS page_id,
+    l."offset" AS primary_offset, l.length AS primary_length, l.digest AS primary_digest,
+    r."offset" AS replica_offset, r.length AS replica_length, r.digest AS replica_digest,
+    CASE WHEN r.digest IS NULL THEN 'missing' WHEN l.digest IS NULL THEN 'extra' ELSE 'changed' END AS status
+FROM (SELECT * FROM leaves WHERE side = 'p') l FULL JOIN (SELECT * FROM leaves WHERE side = 'r') r USING (page_id)
+WHERE l.digest IS DISTINCT FROM r.digest
+"""

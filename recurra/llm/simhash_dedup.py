@@ -181,7 +181,7 @@ def representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     Documents without id count as larger than any with one; of rows that repeat an id one stays.
     """
-    keyed = docs.withColumn("_key", row_key(id_col, text_col))
-    found = near_duplicates(keyed.select(F.col("_key"), F.col(text_col)), "_key", text_col, radius)
-    chosen = found.where("doc_id = component_id").select(F.col("doc_id").alias("_key")).distinct()
-    return keyed.join(chosen, "_key", "left_semi").dropDuplicates(["_key"]).drop("_key")
+    keyed = docs.select(row_key(id_col, text_col).alias("key"), F.col(text_col).alias("text"), F.struct("*").alias("row"))
+    found = near_duplicates(keyed, "key", "text", radius)
+    chosen = found.where("doc_id = component_id").select(F.col("doc_id").alias("key")).distinct()
+    return keyed.select("key", "row").join(chosen, "key", "left_semi").dropDuplicates(["key"]).select("row.*")

@@ -9,7 +9,7 @@ Leaves are written once per replica (a digest per record). Groups never exceed `
 
 Defined cases: a file or record that one replica lacks is reported as missing or extra; null payloads
 are empty records; rows without id come first in their file, ordered by url and payload; repeated rows
-are records of their own; an empty replica makes every file of the other one missing; extra columns
+are records of their own, after all ids; an empty replica makes every file of the other one missing; extra columns
 are ignored.
 """
 
@@ -47,11 +47,12 @@ def records(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", pay
 
 
 def write_warc(rows: DataFrame, folder: str) -> None:
-    """Write records as text files that any WARC reader takes, one folder per file number."""
-    text = rows.withColumn("value", F.col("record"))
-    text.repartition("file").sortWithinPartitions("file", "id", "record").select("file", F.decode("value", "UTF-8").alias("value")).write.partitionBy(
-        "file"
-    ).option("lineSep", "\r\n").text(folder)
+    """Write the records of every ``file`` as one WARC file below ``folder``."""
+    end = "\r\n\r\n"
+    # A cast keeps the bytes as they are; the writer adds the end of each record.
+    value = F.substring("record", F.lit(1), F.octet_length("record") - len(end)).cast("string").alias("value")
+    ordered = rows.repartition("file").sortWithinPartitions("file", "id", "record").select("file", value)
+    ordered.write.partitionBy("file").option("lineSep", end).text(folder)
 
 
 def read_warc(spark: SparkSession, folder: str) -> DataFrame:
@@ -75,13 +76,22 @@ def read_warc(spark: SparkSession, folder: str) -> DataFrame:
     return files.select("path", "content").mapInArrow(cut, "path string, offset long, record binary")
 
 
-def leaves(rows: DataFrame) -> DataFrame:
-    """``file``, ``position``, ``id``, ``offset``, ``length`` and ``digest`` of every record."""
+def leaves(rows: DataFrame, per_file: int = RECORDS_PER_FILE) -> DataFrame:
+    """``file``, ``position``, ``id``, ``offset``, ``length`` and ``digest`` of every record.
+
+    Positions follow ids, so a record that is lost does not move its neighbours to other leaves; further
+    records of an id come after all ids of the file. Offsets are those of the file itself.
+    """
     hashed = rows.select("file", "id", F.octet_length("record").cast("long").alias("length"), F.sha2("record", 256).alias("digest"))
     order = Window.partitionBy("file").orderBy(F.col("id").asc_nulls_first(), "digest")
     before = order.rowsBetween(Window.unboundedPreceding, -1)
-    return hashed.withColumns(
-        {"position": (F.row_number().over(order) - 1).cast("long"), "offset": F.coalesce(F.sum("length").over(before), F.lit(0))}
+    first = F.lag("id").over(order).isNull() | (F.lag("id").over(order) != F.col("id"))
+    slot = F.when(F.col("id").isNotNull() & F.col("first"), F.pmod("id", F.lit(per_file)))
+    further = per_file + F.sum((~(F.col("id").isNotNull() & F.col("first"))).cast("long")).over(order.rowsBetween(Window.unboundedPreceding, 0)) - 1
+    return (
+        hashed.withColumns({"offset": F.coalesce(F.sum("length").over(before), F.lit(0)), "first": first})
+        .withColumn("position", F.coalesce(slot, further).cast("long"))
+        .drop("first")
     )
 
 
