@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-import gc
-
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from recurra.session import scratch_dir
 
 #: Words are runs of anything but these; the set is that of ``bytes.split``.
 SPACE = r"[\x20\x09-\x0D]+"
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,10 +16,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def stored(df: DataFrame, purpose: str) -> DataFrame:
-    """``df`` written once below the shared scratch folder and read back: no lineage, real sizes."""
-    path = scratch_dir(df.sparkSession, purpose)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """``df`` written once below the shared scratch folder and read back: no lineage, real sizes.
+
+    Nothing reads the shuffles of a written plan again, so Spark is told to delete them at its end.
+    """
+    spark, path = df.sparkSession, scratch_dir(df.sparkSession, purpose)
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def discard(df: DataFrame) -> None:
@@ -61,9 +68,3 @@ def ranked(rows: DataFrame, group: str, order: list[Column], name: str, buckets:
         .withColumn(name, (F.col("_start") + F.col("_inside") - 1).cast("long"))
         .drop("_bucket", "_b", "_group", "_start", "_inside")
     )
-
-
-def release(spark: SparkSession) -> None:
-    """Let the driver drop the shuffle files of plans that nothing refers to any more."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()

@@ -31,6 +31,7 @@ from pyspark.sql import DataFrame, functions as F
 MAX_LABELLED = 20_000
 MAX_FEATURES = 4096
 STARTS = (4, 5, 6, 7)
+LEAST_ODDS = 150.0
 WORD = re.compile(r"[^\W\d_]+")
 SHOUT = re.compile(r"\b[A-Z]{4,}\b")
 MARKS = re.compile(r"!{3,}|\?!|!\?")
@@ -63,13 +64,14 @@ class Voters:
         for n in STARTS:
             lexicon = self.lexicons[f"start{n}"]
             found.append(any(w[:n] + "*" in lexicon for w in words if len(w) > n))
-        out = [1 if x else -1 for x in found]
+        # A lexicon says nothing about a text without its words; that there are none at all is a vote.
+        out = [int(x) for x in found]
         strong = any(found)
         letters = max(1, len(text))
         out.append(1 if strong and SECOND.search(text) else 0)
         out.append(1 if 40 * sum(map(len, SHOUT.findall(text))) > letters and strong else 0)
         out.append(1 if MARKS.search(text) and strong else 0)
-        out.append(-1 if len(words) < 4 or not strong else 0)
+        out.append(0 if strong else -1)
         return tuple(out)
 
 
@@ -104,8 +106,8 @@ def lexicons(labelled: DataFrame) -> dict[str, set[str]]:
     if not total or not total.toxic or not total.clean:
         return out
     odds = ((F.col("toxic") + 0.5) / (total.toxic + 1.0)) / ((F.col("clean") + 0.5) / (total.clean + 1.0))
-    least = max(3, total.toxic // 400)
-    typical = sums.where(f"feature <> '' AND toxic >= {least}").withColumn("odds", odds).where("odds >= 20")
+    least = max(3, total.toxic // 200)
+    typical = sums.where(f"feature <> '' AND toxic >= {least}").withColumn("odds", odds).where(F.col("odds") >= LEAST_ODDS)
     for r in typical.orderBy(F.desc(F.log("odds") * F.sqrt("toxic")), "feature").limit(MAX_FEATURES).collect():
         out[_kind(r.feature)].add(r.feature)
     return out
@@ -123,7 +125,7 @@ class LabelModel:
         self.tables[:, 0] = (0.5, 0.3, 0.2)
         self.share, self.say = share, np.ones(votes.shape[1])
         for step in range(steps):
-            toxic = self.posterior(votes)
+            toxic = self.posterior(votes, silence=True)
             parts = np.stack([weight * (1 - toxic), weight * toxic])
             self.share = float(np.clip(parts[1].sum() / weight.sum(), 1e-4, 0.5))
             for j in range(votes.shape[1]):
@@ -146,24 +148,26 @@ class LabelModel:
         np.fill_diagonal(extra, 0)
         return 1 / (1 + np.where(extra > 0.1, extra, 0).sum(axis=1))
 
-    def posterior(self, votes: np.ndarray) -> np.ndarray:
+    def posterior(self, votes: np.ndarray, silence: bool = False) -> np.ndarray:
+        """Chance that texts are toxic; silence of a voter tells classes apart only while these are estimated."""
         ratio = np.log(self.tables[:, 1]) - np.log(self.tables[:, 0])
+        if not silence:
+            ratio[:, 1] = 0
         score = np.log(self.share / (1 - self.share)) + sum(self.say[j] * ratio[j][votes[:, j] + 1] for j in range(len(ratio)))
         return 1 / (1 + np.exp(-np.clip(score, -30, 30)))
 
 
-def classifier(texts: list[set[str]], labels: np.ndarray, vocabulary: list[str], rounds: int = 200) -> tuple[dict[str, float], float]:
-    """Weights and intercept of a logistic regression on soft labels, with equal say for both classes."""
+def classifier(texts: list[set[str]], labels: np.ndarray, vocabulary: list[str], rounds: int = 400) -> tuple[dict[str, float], float]:
+    """Weights and intercept of a logistic regression on soft labels."""
     index = {f: k for k, f in enumerate(vocabulary)}
     row = np.concatenate([np.full(len(t), i) for i, t in enumerate(texts)] or [[]]).astype(np.int64)
     col = np.fromiter((index[f] for t in texts for f in sorted(t)), np.int64, len(row))
     weight, bias = np.zeros(len(vocabulary)), 0.0
-    say = np.where(labels > 0.5, 0.5 / max(1e-9, labels.sum()), 0.5 / max(1e-9, (1 - labels).sum()))
     steps, bias_step = np.zeros(len(vocabulary)), 0.0
     for _ in range(rounds):
         score = bias + np.bincount(row, weight[col], minlength=len(texts))
-        error = say * (1 / (1 + np.exp(-np.clip(score, -30, 30))) - labels)
-        slope = np.bincount(col, error[row], minlength=len(vocabulary)) + 1e-5 * weight
+        error = (1 / (1 + np.exp(-np.clip(score, -30, 30))) - labels) / len(texts)
+        slope = np.bincount(col, error[row], minlength=len(vocabulary)) + 1e-6 * weight
         steps += slope**2
         bias_step += error.sum() ** 2
         weight -= 0.5 * slope / np.sqrt(steps + 1e-12)
