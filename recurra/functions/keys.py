@@ -28,3 +28,10 @@ def version_id(key: Column | str, updated_at: Column | str) -> Column:
 def row_hash(columns: Sequence[str]) -> Column:
     """SHA-256 over the record as JSON; NULL fields leave no trace in it."""
     return F.sha2(F.to_json(F.struct(*[F.col(f"`{c}`") for c in columns])), 256)
+
+
+def record_hash(text: Column | str) -> Column:
+    """SHA-256 over all fields of a JSON object, whatever their order; NULL ones leave no trace in it."""
+    fields = F.from_json(as_column(text), "map<string,string>")
+    known = F.map_filter(fields, lambda _, value: value.isNotNull())
+    return F.sha2(F.to_json(F.array_sort(F.map_entries(known))), 256)

@@ -30,3 +30,14 @@ def cosine(a: Column | str, b: Column | str) -> Column:
 
 
 METRICS = {"l2": squared_l2, "ip": inner_product, "cosine": cosine}
+
+
+#: Letters whose shares in a text make its vector.
+LETTERS = "etaoinsrhldcumfp"
+
+
+def text_vector(text: Column | str) -> Column:
+    """Share of each of 16 letters in a text, without regard to case; NULL for an empty one."""
+    low = F.lower(as_column(text))
+    size = F.nullif(F.length(low), F.lit(0))
+    return F.when(size.isNotNull(), F.array(*[(size - F.length(F.replace(low, F.lit(x), F.lit("")))) / size for x in LETTERS]))

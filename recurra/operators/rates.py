@@ -44,9 +44,11 @@ def rate_by_attribute(
 
     Admissions are counted per patient version before anything is joined, so the join is one
     row per version on both sides and a patient with many admissions weighs no more than others.
+    Admissions without a version (the patient was not listed then) are counted under a NULL value, so
+    every attribute adds up to the overall rate.
     """
     per_version = _counted(fact_readmission, "patient_key")
-    described = per_version.join(dim_patient.select("patient_key", *attributes), "patient_key")
+    described = per_version.join(dim_patient.select("patient_key", *attributes), "patient_key", "left")
     pairs = F.inline(
         F.array(
             *[

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -17,8 +15,7 @@ from .skew import HOT_ROWS, hot_keys
 NOTES_K, LIBRARY_K = 8, 4
 
 SALTS = 64
-BLOCK_ROWS = 512
-BROADCAST_ROWS = 50_000
+LIBRARY_BLOCKS = 16
 
 
 def notes(document_reference: DataFrame) -> DataFrame:
@@ -88,34 +85,29 @@ def library_topk(
     item: str,
     k: int = LIBRARY_K,
     metric: str = "l2",
-    block_rows: int = BLOCK_ROWS,
-    broadcast_rows: int = BROADCAST_ROWS,
+    blocks: int = LIBRARY_BLOCKS,
+    salts: int = SALTS,
 ) -> DataFrame:
     """The k library entries nearest to each query: query, item, distance, rank.
 
-    The library is packed into blocks of about ``block_rows`` entries; a query meets a block as
-    one row and leaves it with at most k candidates. The library is counted first: up to
-    ``broadcast_rows`` entries its blocks are sent to every task and queries are not moved; a
-    larger one is joined by shuffle, with queries spread over copies of each block.
+    The library is dealt into ``blocks`` and the queries into ``salts`` groups; a task meets one group
+    with one block, as one row each, so a query is copied once per block and an entry once per group.
+    It leaves a block with at most k candidates. Which side is small is left to Spark's statistics;
+    ``blocks`` and ``salts`` bound what a row holds and should grow with the tables.
     """
-    size = library.count()
-    blocks = max(1, math.ceil(size / block_rows))
     entry = F.struct(F.col(item), F.col("vector"))
     packed = (
         library.groupBy(F.pmod(F.xxhash64(item), F.lit(blocks)).alias("_block"))
         .agg(F.collect_list(entry).alias("_entries"))
+        .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     )
     asked = queries.select(
-        query, "query_vector", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("_block")
+        query,
+        "query_vector",
+        F.pmod(F.xxhash64(query), F.lit(salts)).cast("int").alias("_salt"),
+        F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("_block"),
     )
-    if size <= broadcast_rows:
-        met = asked.join(F.broadcast(packed), "_block")
-    else:
-        copies = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
-        salt = F.pmod(F.xxhash64(query), F.lit(SALTS)).cast("int")
-        met = asked.withColumn("_salt", salt).join(
-            packed.withColumn("_salt", copies), ["_block", "_salt"]
-        )
+    met = asked.join(packed, ["_block", "_salt"])
     found = met.select(
         query, F.inline(_nearest_entries("query_vector", "_entries", item, k, METRICS[metric]))
     )

@@ -7,8 +7,6 @@ from pyspark.sql import functions as F
 
 from ..sources.ndjson import read_lines
 
-# Up to this many ids the sample travels as one array inside the filter.
-ARRAY_IDS = 10_000
 # The two spellings of a patient reference inside a record.
 PATIENT_TOKEN = r"(?:urn:uuid:|Patient/)([A-Za-z0-9\-.]+)"
 
@@ -27,29 +25,26 @@ def patient_ids(lines: DataFrame) -> DataFrame:
     return patients.select(F.get_json_object("line", "$.id").alias("id")).filter("id IS NOT NULL")
 
 
-def with_kept(lines: DataFrame, sample: DataFrame, n: int, array_ids: int = ARRAY_IDS) -> DataFrame:
+def with_kept(lines: DataFrame, sample: DataFrame) -> DataFrame:
     """Append ``kept``: the line is a sampled patient, or refers to one.
 
-    Ids are compared whole. A sample of at most ``array_ids`` ids is matched inside the scan;
-    a larger one is joined on the ids the lines hold, and lines are matched by their content.
+    Ids are compared whole. The ids a line holds meet the sample in a semi-join, which Spark broadcasts
+    if it is small; what matched comes back by a digest of the line. Lines without ids take no part.
     """
     own = F.array_compact(F.array(F.get_json_object("line", "$.id")))
     referred = F.regexp_extract_all("line", F.lit(PATIENT_TOKEN), F.lit(1))
-    ids = F.when(F.col("resource_type") == "Patient", own).otherwise(referred)
-    if n <= array_ids:
-        wanted = sample.agg(F.collect_set("id")).scalar()
-        return lines.withColumn("kept", F.coalesce(F.arrays_overlap(ids, wanted), F.lit(False)))
-    digest = F.sha2(F.concat_ws("\n", "resource_type", "line"), 256)
-    keyed = lines.withColumn("_digest", digest)
+    ids = F.array_distinct(F.when(F.col("resource_type") == "Patient", own).otherwise(referred))
+    keyed = lines.withColumn("_ids", ids)
+    linked = keyed.filter(F.size("_ids") > 0).withColumn("_digest", F.sha2(F.concat_ws("\n", "resource_type", "line"), 256))
     matched = (
-        keyed.select("_digest", F.explode(F.array_distinct(ids)).alias("id"))
+        linked.select("_digest", F.explode("_ids").alias("id"))
         .join(sample.select("id"), "id", "left_semi")
         .select("_digest", F.lit(True).alias("_matched"))
         .distinct()
     )
-    return keyed.join(matched, "_digest", "left").select(
-        *lines.columns, F.coalesce("_matched", F.lit(False)).alias("kept")
-    )
+    told = linked.join(matched, "_digest", "left").select(*lines.columns, F.coalesce("_matched", F.lit(False)).alias("kept"))
+    rest = keyed.filter("size(_ids) <= 0 OR _ids IS NULL").select(*lines.columns, F.lit(False).alias("kept"))
+    return told.unionByName(rest)
 
 
 def sample_summary(marked: DataFrame) -> DataFrame:
@@ -66,12 +61,19 @@ def sample_summary(marked: DataFrame) -> DataFrame:
 def write_sample(
     spark: SparkSession, source_dir: str, target_dir: str, n: int = 50, seed: int = 42
 ) -> DataFrame:
-    """Write the sample below ``target_dir``, one folder per source file, and return the summary.
+    """Write the sample below ``target_dir`` under the names of the source files and return the summary.
 
-    Lines are written as they were read.
+    Lines are written as they were read. The lines of a file are written by one task, as a sample is
+    meant to be small; Spark's part file then gets the name of the source file.
     """
     lines = read_lines(spark, source_dir)
-    marked = with_kept(lines, sample_entities(patient_ids(lines), "id", n, seed), n)
+    marked = with_kept(lines, sample_entities(patient_ids(lines), "id", n, seed))
     kept = marked.filter("kept").select("line", "file_name")
-    kept.write.mode("overwrite").partitionBy("file_name").text(target_dir)
+    kept.repartition("file_name").write.mode("overwrite").partitionBy("file_name").text(target_dir)
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    files = path(target_dir).getFileSystem(spark._jsc.hadoopConfiguration())
+    for part in files.globStatus(path(f"{target_dir}/file_name=*/part-*")) or ():
+        folder = part.getPath().getParent()
+        files.rename(part.getPath(), path(target_dir, folder.getName().removeprefix("file_name=")))
+        files.delete(folder, True)
     return sample_summary(marked)

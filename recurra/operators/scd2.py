@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.keys import version_id
@@ -45,9 +45,19 @@ def merge_snapshot(
     new one. Other columns keep the value they had when the version was opened. An entity gone
     from the source is closed if ``close_missing``, and opened afresh when it comes back. Closed
     versions are passed on without a shuffle; open ones meet the source in one join per run.
+
+    A column that the source gained is NULL in the versions before it. A key that the source holds
+    twice stops the run, since it would open two versions.
     """
+    copies = Window.partitionBy(key).orderBy(key)
+    twice = F.row_number().over(copies) > 1
+    message = F.concat(F.lit(f"{key} is not unique in the source: "), F.col(key).cast("string"))
+    source = source.withColumn("_twice", twice).filter(F.when(F.col("_twice"), F.raise_error(message)).otherwise(True)).drop("_twice")
     if state is None:
         return initial_snapshot(source, key, run_at)
+    for f in source.schema:
+        if f.name not in state.columns:
+            state = state.withColumn(f.name, F.lit(None).cast(f.dataType))
     columns = [*source.columns, *VERSION_COLUMNS]
     closed = state.filter(F.col("dbt_valid_to").isNotNull()).select(*columns)
 

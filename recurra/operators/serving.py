@@ -90,11 +90,11 @@ def entity_profiles(
 
 
 def canonical_id(patient_id: str) -> str:
-    """Lower-case hyphenated UUID; anything else is refused before a query is built."""
+    """The id in its one spelling; what is no UUID never gets into a query."""
     try:
         return str(uuid.UUID(patient_id))
     except (ValueError, AttributeError, TypeError):
-        raise ValueError(f"Invalid patient_id {patient_id!r}: expected a UUID string.") from None
+        raise ValueError(f"{patient_id!r} is not the UUID of a patient") from None
 
 
 def entity_profile(
@@ -118,14 +118,14 @@ def cohort(fact_readmission: DataFrame, dim_patient: DataFrame) -> DataFrame:
 
 
 def first_patients(patients: DataFrame, n_patients: int) -> DataFrame:
-    """The first ``n_patients`` by id - the shared choice of roster and note corpus."""
+    """The first ``n_patients`` by id, for callers that want a bounded roster or note corpus."""
     return patients.orderBy("patient_id").limit(n_patients)
 
 
 def cohort_roster(
-    fact_readmission: DataFrame, dim_patient: DataFrame, as_of: Column, n_patients: int = 150
+    fact_readmission: DataFrame, dim_patient: DataFrame, as_of: Column, n_patients: int | None = None
 ) -> DataFrame:
-    """Roster with gender, age on ``as_of`` and whether ever readmitted."""
+    """Roster with gender, age on ``as_of`` and whether ever readmitted, of all or the first patients."""
     per_version = fact_readmission.groupBy("patient_key").agg(
         F.max(F.col("was_readmitted_30d_excl_transfers").cast("int")).alias("ever")
     )
@@ -137,4 +137,4 @@ def cohort_roster(
         F.max(age_years("birth_date", as_of)).alias("age"),
         F.max("ever").alias("ever_readmitted"),
     )
-    return first_patients(roster, n_patients)
+    return roster if n_patients is None else first_patients(roster, n_patients)

@@ -319,8 +319,8 @@ class Records:
         )
 
     def document_reference(self) -> DataFrame:
-        """Documents as notes; about seven documents refer to each of the first patients."""
-        patients = self.table("customer").agg(F.expr("greatest(1, floor(count(1) / 10))")).scalar()
+        """Documents as notes, dealt to all patients in turn."""
+        patients = self.table("customer").agg(F.expr("greatest(1, count(1))")).scalar()
         documents = self.table("documents").withColumn("patient", F.col("doc_id") % patients)
         k = "doc_id"
         data = "base64(encode(text, 'UTF-8'))"

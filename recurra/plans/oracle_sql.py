@@ -13,6 +13,10 @@ ISO = "'%Y-%m-%dT%H:%M:%SZ'"
 
 # --- records as flat tables ----------------------------------------------------------------
 
+_TEXT_VECTOR = "[" + ", ".join(
+    f"(length(lower(text)) - length(replace(lower(text), '{x}', ''))) / length(lower(text))" for x in "etaoinsrhldcumfp"
+) + "]"
+
 PARTS = {
     "patient": """
         SELECT CAST(c_custkey AS VARCHAR) AS patient_id,
@@ -101,7 +105,7 @@ PARTS = {
         FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey""",
     "note": """
         SELECT CAST(doc_id AS VARCHAR) AS note_id, doc_id,
-               CAST(doc_id % (SELECT greatest(1, count(*) // 10) FROM customer) AS VARCHAR) AS patient_id,
+               CAST(doc_id % (SELECT greatest(1, count(*)) FROM customer) AS VARCHAR) AS patient_id,
                CAST(DATE '2024-01-01' + CAST(doc_id % 365 AS INT) AS VARCHAR) AS note_date, text AS note_text
         FROM documents WHERE length(text) > 0""",
 }
@@ -295,8 +299,8 @@ PARTS |= {
               LEFT JOIN dim_date d ON r.index_discharge_date_key = d.date_key)
         WHERE place = 1""",
     "vector": "SELECT label, vec_id, CAST(embedding AS DOUBLE[]) AS vector FROM embeddings",
-    "library": """
-        SELECT label AS entry_id, min_by(vector, vec_id) AS entry FROM vector GROUP BY label""",
+    "library": f"""
+        SELECT item_id AS entry_id, {_TEXT_VECTOR} AS entry FROM benchmark WHERE length(text) > 0""",
 }
 
 # Which parts a part reads, to put a WITH clause together.
@@ -318,7 +322,6 @@ NEEDS = {
     "admission": ("encounter",),
     "fact_readmission": ("admission", "fact_encounter"),
     "profile": ("fact_readmission", "dim_date"),
-    "library": ("vector",),
 }
 
 
@@ -502,7 +505,9 @@ _TOPK = f"""
     FROM ({{pairs}}) QUALIFY rank <= {{k}}"""
 
 _NOTE_VECTOR = """
-    SELECT n.patient_id, doc_id AS note_id, vector FROM note n JOIN vector v ON n.doc_id = v.vec_id"""
+    SELECT patient_id, doc_id AS note_id, {vector} AS vector FROM note""".format(
+    vector=_TEXT_VECTOR.replace("text", "note_text")
+)
 
 
 def _ids(name: str, group: str, item: str, pairs: str, k: int) -> str:
@@ -531,7 +536,7 @@ def _rates_by_attribute() -> str:
     each = " UNION ALL ".join(
         f"""SELECT '{n}' AS attribute, CAST({n} AS VARCHAR) AS value, was_readmitted_30d AS raw30,
             is_likely_transfer AS same_day, was_readmitted_30d_excl_transfers AS excl30
-            FROM fact_readmission JOIN dim_patient USING (patient_key)"""
+            FROM fact_readmission LEFT JOIN dim_patient USING (patient_key)"""
         for n in names
     )
     return _with(
@@ -541,6 +546,11 @@ def _rates_by_attribute() -> str:
     )
 
 
+_SOURCES = {
+    "Patient": "customer", "Encounter": "orders", "Condition": "line", "Procedure": "line", "MedicationRequest": "line",
+    "Observation": "events", "DocumentReference": "documents", "Organization": "nation", "Practitioner": "supplier",
+}
+
 ORACLE_SQL: dict[str, str] = {
     "readmission_rate": _with(f"SELECT {_COUNTS} FROM admission", "admission"),
     "next_admission": _with(
@@ -590,13 +600,31 @@ ORACLE_SQL: dict[str, str] = {
         SELECT CAST(n_nationkey AS VARCHAR) AS id, n_name AS name, TRUE AS has_load_ts,
                TRUE AS has_source_file, TRUE AS has_row_hash, 'bronze_test' AS run_id FROM nation""",
     "row_hash": """
-        SELECT c_custkey, sha256(CAST(to_json({'c_custkey': c_custkey, 'c_name': c_name,
-            'c_nationkey': c_nationkey, 'c_mktsegment': c_mktsegment}) AS VARCHAR)) AS row_hash FROM customer""",
-    "ingest_counts": """
-        SELECT 'Patient' AS resource_type, count(*) AS row_count FROM customer
-        UNION ALL SELECT 'Encounter', count(*) FROM orders
-        UNION ALL SELECT 'Organization', count(*) FROM nation
-        UNION ALL SELECT 'Practitioner', count(*) FROM supplier""",
+        SELECT c_custkey, sha256(CAST(to_json({'c_custkey': c_custkey, 'c_name': c_name, 'c_nationkey': c_nationkey,
+            'c_acctbal': c_acctbal, 'c_mktsegment': c_mktsegment}) AS VARCHAR)) AS row_hash FROM customer""",
+    "bronze_full_record": """
+        SELECT CAST(event_id AS VARCHAR) AS id, CASE WHEN event_id % 40 <> 3 THEN CAST(event_id % 100 AS DOUBLE) END AS value,
+               event_type AS issued, event_id % 40 = 3 AS mistyped,
+               sha256('[{"key":"id","value":"' || event_id || '"},{"key":"issued","value":"' || event_type
+                   || '"},{"key":"valueQuantity","value":"{\\"value\\":' ||
+                   CASE WHEN event_id % 40 = 3 THEN '\\"many\\"' ELSE CAST(event_id % 100 AS VARCHAR) END
+                   || ',\\"unit\\":\\"USD\\"}"}]') AS row_hash
+        FROM events WHERE event_id % 50 <> 7""",
+    "bronze_bad_lines": """
+        WITH lines AS (
+            SELECT event_id, '{"id":"' || event_id || '","issued":"' || event_type || '","valueQuantity":{"value":'
+                || CASE WHEN event_id % 40 = 3 THEN '"many"' ELSE CAST(event_id % 100 AS VARCHAR) END || ',"unit":"USD"}}' AS line
+            FROM events)
+        SELECT 'line' AS kind, left(line, length(line) - 3) AS text, CAST(1 AS BIGINT) AS n FROM lines WHERE event_id % 50 = 7
+        UNION ALL SELECT 'loaded', NULL, count(*) FROM lines WHERE event_id % 50 <> 7
+        UNION ALL SELECT 'bad_lines', NULL, count(*) FROM lines WHERE event_id % 50 = 7
+        UNION ALL SELECT 'mistyped', NULL, count(*) FROM lines WHERE event_id % 40 = 3 AND event_id % 50 <> 7""",
+    "ingest_counts": _with(
+        " UNION ALL ".join(
+            f"SELECT '{name}' AS resource_type, count(*) AS row_count FROM {table}" for name, table in _SOURCES.items()
+        ),
+        "line",
+    ),
     "scalar_fhir_id": f"""
         SELECT c_custkey,
                CASE c_custkey % 6 WHEN 3 THEN ref WHEN 5 THEN NULL ELSE CAST(c_custkey AS VARCHAR) END AS flat_id,
@@ -621,8 +649,8 @@ ORACLE_SQL: dict[str, str] = {
                    || '-' || o_orderkey) AS null_part_key
         FROM orders""",
     "dim_date": _with(
-        """SELECT * REPLACE (CAST(full_date AS VARCHAR) AS full_date) FROM dim_date
-           WHERE full_date IN (SELECT CAST(o_orderdate AS DATE) FROM orders)""",
+        """SELECT d.* REPLACE (CAST(full_date AS VARCHAR) AS full_date), count(o_orderkey) AS orders
+           FROM dim_date d LEFT JOIN orders ON CAST(o_orderdate AS DATE) = full_date GROUP BY ALL""",
         "dim_date",
     ),
     "age_at_event": _with(
@@ -644,6 +672,12 @@ ORACLE_SQL: dict[str, str] = {
                       SELECT 1 FROM patient_listed l WHERE l.patient_id = h.patient_id AND l.run = h.dbt_valid_to))""",
         "patient_history",
     ),
+    "scd2_new_column": _with(
+        f"""SELECT patient_id, strftime(dbt_valid_from, {TS}) AS dbt_valid_from, strftime(dbt_valid_to, {TS}) AS dbt_valid_to,
+                   CASE WHEN dbt_valid_from = TIMESTAMP '{RUNS[-1]}' THEN 'seen ' || last_visit END AS visit_note
+            FROM patient_history""",
+        "patient_history",
+    ),
     "dim_patient": _table("dim_patient", "valid_from valid_to"),
     "dim_organization": _table("dim_organization", "valid_from valid_to"),
     "dim_provider": _table("dim_provider", "valid_from valid_to"),
@@ -714,7 +748,7 @@ ORACLE_SQL: dict[str, str] = {
     "observation_incremental": _with(
         f"""SELECT observation_id, patient_id, strftime(effective_time, {TS}) AS effective_time, value_number,
                    CASE WHEN effective_time < TIMESTAMP '2024-01-20' THEN 'first' ELSE 'second' END AS load
-            FROM observation WHERE effective_time IS NOT NULL""",
+            FROM observation""",
         "observation",
     ),
     "corpus_upsert": """
@@ -726,14 +760,13 @@ ORACLE_SQL: dict[str, str] = {
                   CAST(max(floor(date_diff('day', CAST(birth_date AS DATE), DATE '2002-01-01') / 365.25)) AS INT) AS age,
                   max(CASE WHEN was_readmitted_30d_excl_transfers THEN 1 ELSE 0 END) AS ever_readmitted
            FROM fact_readmission JOIN dim_patient USING (patient_key)
-           GROUP BY patient_id ORDER BY patient_id LIMIT 150""",
+           GROUP BY patient_id""",
         "fact_readmission",
         "dim_patient",
     ),
     "cohort_notes": _with(
         """SELECT note_id, patient_id, note_date, md5(note_text) AS text_digest FROM note
-           WHERE patient_id IN (SELECT DISTINCT patient_id FROM fact_readmission JOIN dim_patient USING (patient_key)
-                                ORDER BY patient_id LIMIT 150)""",
+           WHERE patient_id IN (SELECT DISTINCT patient_id FROM fact_readmission JOIN dim_patient USING (patient_key))""",
         "note",
         "fact_readmission",
     ),
@@ -748,9 +781,10 @@ ORACLE_SQL: dict[str, str] = {
     ),
     "library_topk": _with(
         _TOPK.format(
-            group="vec_id", item="entry_id", k=4,
-            pairs=f"""SELECT vec_id, entry_id, {_L2.format(a='vector', b='entry')} AS distance
-                      FROM vector CROSS JOIN library""",
+            group="doc_id", item="entry_id", k=4,
+            pairs=f"""SELECT doc_id, entry_id, {_L2.format(a='vector', b='entry')} AS distance
+                      FROM (SELECT doc_id, {_TEXT_VECTOR} AS vector FROM documents WHERE length(text) > 0)
+                      CROSS JOIN library""",
         ),
         "library",
     ),

@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 from ..functions.keys import row_hash, surrogate_key
 from ..functions.references import reference_id, target_id, trailing_id
 from ..functions.times import age_years, iso_text, parse_instant, parse_iso
+from ..functions.vectors import text_vector
 from ..operators import (
     dimensions,
     facts,
@@ -29,11 +30,13 @@ from ..operators import (
 from ..operators.asof import asof_join
 from ..operators.contracts import CONTRACTS
 from ..operators.quality import Check
+from ..operators.scd2 import CHECKED_COLUMNS, merge_snapshot
 from ..session import prepare, scratch_dir
 from ..sources.catalogue import RESOURCES
 from ..sources.ndjson import read_ndjson
-from ..sources.provenance import add_provenance, ingest
+from ..sources.provenance import add_provenance, bad_lines, ingest
 from ..sources.schemas import declared_schema
+from ..sources.tables import read_table
 from .fixtures import NAMES, RUNS, Records
 from .medallion import Medallion
 
@@ -260,16 +263,50 @@ def bronze_provenance(r):
 
 @query
 def row_hash_of_customers(r):
-    columns = ["c_custkey", "c_name", "c_nationkey", "c_mktsegment"]
-    return r.table("customer").select("c_custkey", row_hash(columns).alias("row_hash"))
+    customers = r.table("customer")
+    return customers.select("c_custkey", row_hash(customers.columns).alias("row_hash"))
 
 
 QUERIES["row_hash"] = QUERIES.pop("row_hash_of_customers")
 
 
+def _loaded(r: Records) -> tuple[DataFrame, DataFrame, dict[str, int]]:
+    """Event lines with fields no schema declares, broken lines and a mistyped value, loaded to bronze."""
+    event = F.col("event_id")
+    number = F.when(event % 40 == 3, F.lit('"many"')).otherwise((event % 100).cast("string"))
+    line = F.format_string('{"id":"%d","issued":"%s","valueQuantity":{"value":%s,"unit":"USD"}}', event, F.col("event_type"), number)
+    broken = F.when(event % 50 == 7, F.substring(line, F.lit(1), F.length(line) - 3)).otherwise(line)
+    source, target = scratch_dir(r.spark, "lines"), scratch_dir(r.spark, "bronze")
+    r.table("events").select(broken).write.text(source)
+    report = ingest(r.spark, source, target, "bronze_test", declared_schema("Observation"))
+    return read_table(r.spark, target), read_table(r.spark, bad_lines(target)), report.rows
+
+
+@query
+def bronze_full_record(r):
+    """Every field of a record is kept, declared or not, and changes its hash."""
+    loaded, _, _ = _loaded(r)
+    return loaded.select(
+        "id",
+        "valueQuantity.value",
+        F.get_json_object("_record", "$.issued").alias("issued"),
+        F.col("_mistyped").alias("mistyped"),
+        F.col("_row_hash").alias("row_hash"),
+    )
+
+
+@query
+def bronze_bad_lines(r):
+    """Lines that are no record are kept as text and counted, as are records with mistyped values."""
+    _, bad, counts = _loaded(r)
+    texts = bad.select(F.lit("line").alias("kind"), F.col("line").alias("text"), F.lit(1).cast("long").alias("n"))
+    counted = r.spark.createDataFrame([(k, None, n) for k, n in counts.items()], "kind string, text string, n long")
+    return texts.unionByName(counted)
+
+
 @query
 def ingest_counts(r):
-    names = ("Patient", "Encounter", "Organization", "Practitioner")
+    names = NAMES
     source, target = _as_files(r, names), scratch_dir(r.spark, "bronze")
     loads = [
         ingest(
@@ -281,7 +318,7 @@ def ingest_counts(r):
         )
         for n in names
     ]
-    rows = [(n, load.row_count) for n, load in zip(names, loads, strict=True)]
+    rows = [(n, load.rows["loaded"]) for n, load in zip(names, loads, strict=True)]
     return r.spark.createDataFrame(rows, "resource_type string, row_count bigint")
 
 
@@ -351,9 +388,10 @@ QUERIES["surrogate_key"] = QUERIES.pop("surrogate_key_of_orders")
 
 @query
 def dim_date(r):
-    """Days on which orders were placed, with their calendar attributes."""
-    days = r.table("orders").select(F.col("o_orderdate").cast("date").alias("full_date")).distinct()
-    return dimensions.dim_date(r.spark).join(days, "full_date", "left_semi")
+    """Every day of the calendar with the number of orders placed on it."""
+    days = r.table("orders").groupBy(F.col("o_orderdate").cast("date").alias("full_date"))
+    placed = days.agg(F.count(F.lit(1)).alias("orders"))
+    return dimensions.dim_date(r.spark).join(placed, "full_date", "left").fillna(0, ["orders"])
 
 
 @query
@@ -389,6 +427,17 @@ def scd2_hard_delete(r):
     return closed.join(begun, ["patient_id", "dbt_valid_to"], "left_anti")
 
 
+@query
+def scd2_new_column(r):
+    """The history when the last run's source has a column that the runs before did not know."""
+    state = None
+    for run_at in RUNS[:-1]:
+        state = merge_snapshot(state, r.patient_as_of(run_at), "patient_id", CHECKED_COLUMNS["patient"], F.lit(run_at).cast("timestamp"))
+    source = r.patient_as_of(RUNS[-1]).withColumn("visit_note", F.concat(F.lit("seen "), "last_visit"))
+    merged = merge_snapshot(state, source, "patient_id", CHECKED_COLUMNS["patient"], F.lit(RUNS[-1]).cast("timestamp"))
+    return merged.select("patient_id", "dbt_valid_from", "dbt_valid_to", "visit_note")
+
+
 @query
 def dim_patient(r):
     return dimensions.dim_patient(r.history("patient"))
@@ -514,7 +563,7 @@ def dq_report(r):
 
 @query
 def observation_incremental(r):
-    """A first load of the events before 20 January, then a load of everything newer."""
+    """A first load of the events before 20 January, then a load of everything it lacks."""
     source = silver.observation(r.observation()).withColumn(
         "load", F.lit("second")
     )
@@ -551,7 +600,7 @@ def cohort_roster(r):
 @query
 def cohort_notes(r):
     star = Star(r)
-    patients = serving.first_patients(serving.cohort(star.fact_readmission, star.dim_patient), 150)
+    patients = serving.cohort(star.fact_readmission, star.dim_patient)
     found = retrieval.cohort_notes(r.document_reference(), patients)
     return found.select(
         "note_id", "patient_id", "note_date", F.md5("note_text").alias("text_digest")
@@ -579,9 +628,9 @@ def _vectors(r: Records) -> DataFrame:
 
 
 def _library(r: Records) -> DataFrame:
-    return _first_vector(_vectors(r), "label", "vec_id").select(
-        F.col("label").alias("entry_id"), F.col("query_vector").alias("vector")
-    )
+    """All benchmark texts as library entries."""
+    texts = r.table("benchmark").select(F.col("item_id").alias("entry_id"), text_vector("text").alias("vector"))
+    return texts.filter("vector IS NOT NULL")
 
 
 @query
@@ -595,8 +644,8 @@ def entity_topk(r):
 
 @query
 def library_topk(r):
-    queries = _vectors(r).select("vec_id", F.col("vector").alias("query_vector"))
-    found = retrieval.library_topk(queries, _library(r), "vec_id", "entry_id")
+    queries = r.table("documents").select("doc_id", text_vector("text").alias("query_vector"))
+    found = retrieval.library_topk(queries.filter("query_vector IS NOT NULL"), _library(r), "doc_id", "entry_id")
     return found.withColumn("distance", F.round("distance", 6))
 
 
@@ -606,11 +655,8 @@ def evidence_bundle(r):
     profiles = serving.entity_profiles(
         star.fact_readmission, star.fact_encounter, star.dim_patient, star.dim_date
     ).select("patient_id", "gender", "ever_readmitted_30d")
-    texts = retrieval.notes(r.document_reference()).select(
-        "patient_id", F.col("note_id").cast("long").alias("note_id")
-    )
-    vectors = texts.join(
-        _vectors(r).select(F.col("vec_id").alias("note_id"), "vector"), "note_id"
+    vectors = retrieval.notes(r.document_reference()).select(
+        "patient_id", F.col("note_id").cast("long").alias("note_id"), text_vector("note_text").alias("vector")
     )
     queries = _first_vector(vectors, "patient_id", "note_id")
     bundle = retrieval.evidence_bundle(
@@ -696,7 +742,7 @@ def _raw_lines(r: Records) -> DataFrame:
 
 def _marked(r: Records) -> DataFrame:
     lines = _raw_lines(r)
-    return sampling.with_kept(lines, sampling.sample_entities(sampling.patient_ids(lines), "id"), 50)
+    return sampling.with_kept(lines, sampling.sample_entities(sampling.patient_ids(lines), "id"))
 
 
 @query

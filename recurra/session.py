@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
 
 from pyspark.sql import SparkSession
@@ -14,6 +15,7 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
 }
+_LOCK, _MADE = threading.Lock(), []
 # Can only be set when the session starts. Call-site capture costs several driver round trips
 # per column expression.
 START_SETTINGS = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
@@ -39,11 +41,25 @@ def prepare(spark: SparkSession) -> SparkSession:
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
     """A new, unused folder path below the cluster's shared checkpoint folder.
 
-    The folder named in ``spark.checkpoint.dir`` is visible to every executor. Only where
-    no such folder is configured (local tests) is a temporary one made, once per session.
+    The folder named in ``spark.checkpoint.dir`` is visible to every executor. Only in local
+    mode may it be unset; a temporary one is then made, once per session. ``drop_scratch`` deletes
+    what this session has made.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = tempfile.mkdtemp(prefix="recurra-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    with _LOCK:
+        root = spark.conf.get("spark.checkpoint.dir", None)
+        if not root:
+            if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+                raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+            root = tempfile.mkdtemp(prefix="recurra-")
+            spark.conf.set("spark.checkpoint.dir", root)
+    path = f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    _MADE.append(path)
+    return path
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Delete the scratch folders of this session; nothing that still reads them may be used."""
+    conf, paths = spark._jsc.hadoopConfiguration(), spark._jvm.org.apache.hadoop.fs.Path
+    while _MADE:
+        path = paths(_MADE.pop())
+        path.getFileSystem(conf).delete(path, True)

@@ -2,26 +2,19 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
 from datetime import UTC, datetime
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.keys import row_hash
-from .ndjson import read_ndjson
-from .tables import stored_schema, write_table
+from ..functions.keys import record_hash, row_hash
+from .ndjson import BAD_LINE, MISTYPED, RECORD, read_ndjson, read_records
+from .tables import StageReport, stored_schema, write_table
 
 PROVENANCE_COLUMNS = ("_load_ts", "_source_file", "_row_hash", "_ingestion_run_id")
-
-
-@dataclass(frozen=True)
-class LoadResult:
-    target_table: str
-    source_path: str
-    ingestion_run_id: str
-    row_count: int
+# Beside the declared fields where these are read from raw lines: the whole record and a mark.
+RAW_COLUMNS = (RECORD, MISTYPED)
 
 
 def new_run_id() -> str:
@@ -31,16 +24,19 @@ def new_run_id() -> str:
 def add_provenance(df: DataFrame, run_id: str, load_ts: Column | None = None) -> DataFrame:
     """Append load time, source file, content hash and run id.
 
-    The hash covers the record alone, so an unchanged record hashes alike in every run. A
-    ``_source_file`` already noted by the reader is kept, else the scan is asked for it.
+    The hash covers the record alone, so an unchanged record hashes alike in every run. Where the
+    whole record is at hand it is hashed with all its fields, else the columns are. A ``_source_file``
+    already noted by the reader is kept, else the scan is asked for it.
     """
-    record = [c for c in df.columns if c not in PROVENANCE_COLUMNS]
+    record = [c for c in df.columns if c not in (*PROVENANCE_COLUMNS, *RAW_COLUMNS)]
+    raw = [c for c in RAW_COLUMNS if c in df.columns]
     source = F.col("_source_file") if "_source_file" in df.columns else F.input_file_name()
     return df.select(
         *[F.col(f"`{c}`") for c in record],
+        *raw,
         (F.current_timestamp() if load_ts is None else load_ts).alias("_load_ts"),
         source.alias("_source_file"),
-        row_hash(record).alias("_row_hash"),
+        (record_hash(RECORD) if RECORD in raw else row_hash(record)).alias("_row_hash"),
         F.lit(run_id).alias("_ingestion_run_id"),
     )
 
@@ -57,18 +53,41 @@ def ingest(
     schema: T.StructType | None = None,
     spread: int | None = None,
     overwrite_schema: bool = False,
-) -> LoadResult:
+) -> StageReport:
     """Load one resource type into its bronze table.
 
-    The columns stored by the first load must stay the same unless ``overwrite_schema``. Rows are
-    counted while they are written; the table is not read again for it.
+    With a ``schema`` its fields become columns and the whole record stays beside them as text; without
+    one, all fields are inferred in an extra pass. The columns stored by the first load must stay the
+    same unless ``overwrite_schema``. Rows are counted while they are written. Lines that hold no record
+    go to ``bad_lines(target_table)`` with their text; the source is only read again if there are any.
     """
     run_id = run_id or new_run_id()
     counted = Observation()
-    rows = add_provenance(read_ndjson(spark, source_path, schema, spread), run_id)
+    if schema is None:
+        found = read_ndjson(spark, source_path, None, spread)
+        bad, mistyped = F.lit(False), F.lit(False)
+    else:
+        found = read_records(spark, source_path, schema, spread)
+        bad, mistyped = F.col(BAD_LINE), F.col(MISTYPED)
+    found = found.observe(
+        counted,
+        F.count_if(~bad).alias("loaded"),
+        F.count_if(bad).alias("bad_lines"),
+        F.count_if(mistyped).alias("mistyped"),
+    )
+    rows = add_provenance(found.filter(~bad).drop(BAD_LINE), run_id)
     stored = stored_schema(spark, target_table)
     if stored is not None and not overwrite_schema and _shape(stored) != _shape(rows.schema):
         raise ValueError(f"columns of {target_table} differ from those of {source_path}")
-    rows = rows.observe(counted, F.count(F.lit(1)).alias("rows"))
     write_table(rows, target_table)
-    return LoadResult(target_table, source_path, run_id, counted.get["rows"])
+    counts = dict(counted.get)
+    if schema is not None:
+        lines = read_records(spark, source_path, schema).filter(BAD_LINE) if counts["bad_lines"] else found.limit(0)
+        kept = lines.select(F.col(RECORD).alias("line"), "_source_file", F.lit(run_id).alias("_ingestion_run_id"))
+        write_table(kept, bad_lines(target_table))
+    return StageReport(target_table, counts, run_id)
+
+
+def bad_lines(target_table: str) -> str:
+    """Where the lines go that could not be loaded into a table."""
+    return f"{target_table}_bad_lines"

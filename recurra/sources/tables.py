@@ -2,11 +2,22 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 
+@dataclass(frozen=True)
+class StageReport:
+    """What a stage did with one table: where it wrote and how many rows went where."""
+
+    target: str
+    rows: dict[str, int]
+    run_id: str | None = None
+
+
 def is_path(target: str) -> bool:
     return "/" in target
 

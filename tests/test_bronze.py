@@ -50,7 +50,7 @@ def test_ingest_is_idempotent_and_counts_rows(spark, tmp_path):
         for first in (True, False):
             result = ingest(spark, str(source), target, "r", schema, spread=3, overwrite_schema=first)
             table = read_table(spark, target)
-            assert result.row_count == table.count() == 5
+            assert result.rows["loaded"] == table.count() == 5
             assert fields <= set(table.columns)
             assert table.filter(F.col("_source_file").endswith("Patient.ndjson")).count() == 5
 
@@ -62,13 +62,13 @@ def test_other_columns_are_refused_unless_asked_for(spark, tmp_path):
     source.write_text('{"id": 1}\n')
     with pytest.raises(ValueError, match="columns of"):
         ingest(spark, str(source), target)
-    assert ingest(spark, str(source), target, overwrite_schema=True).row_count == 1
+    assert ingest(spark, str(source), target, overwrite_schema=True).rows["loaded"] == 1
 
 
 def test_ingest_into_a_catalog_table(spark, tmp_path):
     source = tmp_path / "x.ndjson"
     source.write_text('{"id": "1"}\n')
-    assert ingest(spark, str(source), "bronze_people").row_count == 1
+    assert ingest(spark, str(source), "bronze_people").rows["loaded"] == 1
     assert read_table(spark, "bronze_people").first()._ingestion_run_id.startswith("bronze_")
 
 

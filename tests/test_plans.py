@@ -83,9 +83,9 @@ def test_whole_job_over_two_runs(spark, tmp_path, monkeypatch):
     _export(first, {"p1": "X", "p2": "X"}, stays, [("o1", noon)])
     one = Medallion(spark, scratch_dir(spark, "one"))
     report = one.run(str(first), "2024-02-01", "run-1")
-    assert len(report.loads) == 14 and all(r.row_count for r in report.loads)
+    assert len(report.loads) == 14 and all(r.rows["loaded"] for r in report.loads)
     checked = {v.bronze_table.rsplit("/", 1)[1]: v for v in report.validations}
-    assert (checked["encounter"].valid_rows, checked["encounter"].quarantine_rows) == (2, 1)
+    assert checked["encounter"].rows == {"valid": 2, "held": 1}
     assert [r.id for r in one.valid("encounter", is_valid=False).collect()] == ["bad"]
     assert one.read("bronze", "claim").first().total.value == 1.5
     # Its only record is a stub without a patient.

@@ -118,13 +118,13 @@ def test_entity_topk_against_brute_force(spark, vectors, hot_rows):
     assert got == expected
 
 
-@pytest.mark.parametrize(("block_rows", "broadcast_rows"), [(512, 50_000), (7, 50_000), (7, 10)])
-def test_library_topk_against_brute_force(spark, vectors, block_rows, broadcast_rows):
+@pytest.mark.parametrize(("blocks", "salts"), [(1, 1), (7, 3), (16, 64)])
+def test_library_topk_against_brute_force(spark, vectors, blocks, salts):
     library = spark.createDataFrame([(i, v) for _, i, v in vectors], "item long, vector array<float>")
     asked = [(i, v) for _, i, v in vectors[:40]]
     queries = spark.createDataFrame(asked, "query long, query_vector array<float>")
     found = retrieval.library_topk(
-        queries, library, "query", "item", k=4, block_rows=block_rows, broadcast_rows=broadcast_rows
+        queries, library, "query", "item", k=4, blocks=blocks, salts=salts
     )
     got = {}
     for r in sorted(found.collect(), key=lambda r: r["rank"]):
