@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from recurra.session import scratch_dir
 from recurra.sources.catalogue import RESOURCES, resource
 from recurra.sources.ndjson import read_ndjson
-from recurra.sources.provenance import PROVENANCE_COLUMNS, add_provenance, ingest
+from recurra.sources.provenance import PROVENANCE_COLUMNS, add_provenance, bad_lines, ingest
 from recurra.sources.schemas import declared_schema
 from recurra.sources.tables import read_table
 
@@ -78,3 +78,24 @@ def test_reads_gzip_globs(spark, tmp_path):
     )
     df = read_ndjson(spark, str(tmp_path / "Organization.*.ndjson.gz"), declared_schema("Organization"))
     assert df.count() == 2
+
+
+def test_whole_records_bad_lines_and_mistyped_values(spark, tmp_path):
+    source, target = tmp_path / "Observation.ndjson", scratch_dir(spark, "bronze")
+    lines = [
+        '{"id":"1","issued":"a","valueQuantity":{"value":1.5}}',
+        '{"issued":"b","id":"1","valueQuantity":{"value":1.5}}',
+        '{"valueQuantity":{"value":1.5},"id":"1","issued":"a","note":null}',
+        '{"id":"2","valueQuantity":{"value":"5.4"}}',
+        '{"id":"3", broken',
+        "[1, 2]",
+        "",
+    ]
+    source.write_text("\n".join(lines) + "\n")
+    report = ingest(spark, str(source), target, "r", declared_schema("Observation"))
+    assert report.rows == {"loaded": 4, "bad_lines": 2, "mistyped": 1}
+    rows = {r._record: r for r in read_table(spark, target).collect()}
+    first, other, reordered, mistyped = (rows[x] for x in lines[:4])
+    assert first._row_hash == reordered._row_hash != other._row_hash
+    assert mistyped._mistyped and mistyped.valueQuantity.value is None and not first._mistyped
+    assert {r.line for r in read_table(spark, bad_lines(target)).collect()} == set(lines[4:6])

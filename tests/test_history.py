@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import pytest
 from pyspark.sql import functions as F
 
 from recurra.operators.dimensions import dim_condition, dim_date, dim_organization, dim_patient
@@ -76,6 +77,16 @@ def test_missing_rows_may_stay_open(spark):
     assert kept.filter("dbt_valid_to IS NULL").count() == 1
 
 
+def test_a_new_source_column_and_a_repeated_key(spark):
+    first = spark.createDataFrame([("a", "X", "1"), ("b", "X", "1")], SOURCE)
+    state = merge_snapshot(None, first, "patient_id", ("address_city",), at("2020-01-01"))
+    wider = spark.createDataFrame([("a", "Y", "1"), ("b", "X", "1")], SOURCE).withColumn("extra", F.lit("e"))
+    merged = merge_snapshot(state, wider, "patient_id", ("address_city",), at("2021-01-01"))
+    assert sorted((r.patient_id, r.address_city, r.extra or "") for r in merged.collect()) == [("a", "X", ""), ("a", "Y", "e"), ("b", "X", "")]
+    with pytest.raises(Exception, match="not unique in the source: a"):
+        merge_snapshot(state, first.union(first.filter("patient_id = 'a'")), "patient_id", ("address_city",), at("2021-01-01")).collect()
+
+
 def test_calendar(spark):
     days = dim_date(spark)
     bounds = days.agg(F.count("*"), F.min("date_key"), F.max("date_key")).first()
@@ -122,11 +133,16 @@ def test_incremental_merge(spark, rows):
         ("d", None, "no time"),
         ("e", "2024-01-09", "new"),
     )
-    merged = incremental_merge(target, batch, "id", "t")
+    loaded = incremental_merge(target, batch, "id", "t")
+    everything = [("a", "last"), ("b", "old"), ("c", "late"), ("d", "no time"), ("e", "new")]
+    assert rows(loaded, "id", "v") == everything
+    assert rows(incremental_merge(loaded, batch, "id", "t"), "id", "v") == everything
+    assert rows(incremental_merge(target.limit(0), batch, "id", "t"), "id").__len__() == 5
+    merged = incremental_merge(target, batch, "id", "t", only_newer=True)
     assert rows(merged, "id", "v") == [("a", "last"), ("b", "old"), ("e", "new")]
-    again = incremental_merge(merged, batch, "id", "t")
+    again = incremental_merge(merged, batch, "id", "t", only_newer=True)
     assert rows(again, "id", "v") == rows(merged, "id", "v")
-    back = incremental_merge(target, batch, "id", "t", lookback=F.expr("INTERVAL 5 DAYS"))
+    back = incremental_merge(target, batch, "id", "t", lookback=F.expr("INTERVAL 5 DAYS"), only_newer=True)
     assert ("c", "late") in rows(back, "id", "v")
     empty = target.limit(0)
     assert newer_than_mark(batch, empty, "t").count() == 0

@@ -84,7 +84,7 @@ def test_whole_job_over_two_runs(spark, tmp_path, monkeypatch):
     one = Medallion(spark, scratch_dir(spark, "one"))
     report = one.run(str(first), "2024-02-01", "run-1")
     assert len(report.loads) == 14 and all(r.rows["loaded"] for r in report.loads)
-    checked = {v.bronze_table.rsplit("/", 1)[1]: v for v in report.validations}
+    checked = {v.target.rsplit("/", 1)[1].removesuffix("_checked"): v for v in report.validations}
     assert checked["encounter"].rows == {"valid": 2, "held": 1}
     assert [r.id for r in one.valid("encounter", is_valid=False).collect()] == ["bad"]
     assert one.read("bronze", "claim").first().total.value == 1.5
@@ -105,7 +105,7 @@ def test_whole_job_over_two_runs(spark, tmp_path, monkeypatch):
     outcome = {r.index_encounter_id: r.days_to_readmission for r in two.read("gold", "fact_readmission").collect()}
     assert outcome == {"e1": 10, "e2": 54, "e3": None}
     runs = {r.observation_id: r._bronze_ingestion_run_id for r in two.read("silver", "observation").collect()}
-    assert runs == {"o1": "run-1", "o2": "run-2"}
+    assert runs == {"o1": "run-1", "o2": "run-2", "late": "run-2"}
 
 
 def test_inferred_load_keeps_every_field(spark, tmp_path, monkeypatch):

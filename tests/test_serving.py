@@ -60,7 +60,7 @@ def test_single_profile(star):
     unknown = "0a0a0a0a-0000-0000-0000-0000000000ff"
     assert serving.entity_profile(unknown, *star).count() == 0
     for bad in ("not-a-uuid", "x' OR '1'='1", "", None):
-        with pytest.raises(ValueError, match="Invalid patient_id"):
+        with pytest.raises(ValueError, match="not the UUID"):
             serving.entity_profile(bad, *star)
 
 
