@@ -2,11 +2,12 @@
 
 Two order-one Markov models over characters are compared. The model of random strings is learned from
 generated strings of the usual alphabets and from the values that the fixed patterns found; the model
-of ordinary identifiers is learned from all other tokens of all documents. A token is a secret if
-the log-likelihood ratio of the two is high, in sum and per character.
+of ordinary identifiers is learned from all other tokens of all documents but the long mixed ones that
+are to be judged (else secrets would make themselves ordinary). A token of letters and digits is a
+secret if the log-likelihood ratio of the two is high, in sum and per character.
 
 Counting runs in every task over whole texts; what is added up is one number per pair of characters
-and task, so the models stay small (70 x 70) and cover all rows.
+and task, so the models stay small (63 x 63) and cover all rows.
 
 Defined cases: a null text counts as empty; repeated rows are searched one by one; extra columns are
 ignored; an empty table gives no rows.
@@ -31,14 +32,14 @@ LONG_HEX = re.compile(r"[0-9a-f]{32,}")
 LEAST = {"assign": 8, "access": 16, "hex": 32}
 KINDS = ("assign", "access", "hex", "markov")
 
-LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
-STATES = len(LETTERS) + 1  # state 0 stands for the edge of a token
+LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+STATES = len(LETTERS) + 1  # state 0 stands for the edge of a token and for the signs that join its parts
 CODES = np.zeros(256, np.int64)
 CODES[np.frombuffer(LETTERS.encode(), np.uint8)] = np.arange(1, STATES)
 TOKEN = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
-ALPHABETS = (LETTERS[:62], LETTERS[26:62], LETTERS[:26] + LETTERS[52:62], "0123456789abcdef", LETTERS[:64], LETTERS[:62] + "_-")
+ALPHABETS = (LETTERS, LETTERS[26:], LETTERS[:26] + LETTERS[52:], "0123456789abcdef", LETTERS + "+/", LETTERS + "_-")
 SAMPLES, SAMPLE_LENGTH = 500, 40
-TOTAL, PER_CHARACTER = 15.0, 0.75
+TOTAL, PER_CHARACTER, BACK_OFF = 20.0, 2.4, 20.0
 
 
 def base_spans(text: str) -> list[tuple[int, int, int, int]]:
@@ -82,10 +83,14 @@ def train(docs: DataFrame, text_col: str = "text") -> np.ndarray:
                 if not text:
                     continue
                 sums[1] += transitions(text.encode())
-                for _, _, end, value in base_spans(text):
-                    secret = transitions(text[value:end].encode())
-                    sums[0] += secret
-                    sums[1] -= secret
+                values = sorted({(value, end) for _, _, end, value in base_spans(text)})
+                at = 0
+                for value, end in values:
+                    if value >= at:
+                        sums[0] += transitions(text[value:end].encode())
+                        at = end
+                for m in [*candidates(text), *(m for m in LONG_HEX.finditer(text) if m[0].isdigit())]:
+                    sums[1] -= transitions(m[0].encode())
         kind, pair = np.nonzero(sums)
         columns = [pa.array(kind.astype(np.int32)), pa.array(pair.astype(np.int32)), pa.array(sums[kind, pair])]
         yield pa.RecordBatch.from_arrays(columns, names=["kind", "pair", "n"])
@@ -95,24 +100,31 @@ def train(docs: DataFrame, text_col: str = "text") -> np.ndarray:
     for r in rows.groupBy("kind", "pair").agg(F.sum("n").alias("n")).collect():
         sums[r.kind, r.pair] = max(r.n, 0)
     sums[0] += random_sample()
-    chance = sums.reshape(2, STATES, STATES)[:, :, 1:] + 0.5
+    pairs = sums.reshape(2, STATES, STATES)[:, :, 1:]
+    # After characters that were hardly seen, the characters of all tokens are the best guess.
+    single = pairs.sum(axis=1, keepdims=True) + 0.5
+    chance = pairs + BACK_OFF * single / single.sum(axis=2, keepdims=True)
     chance /= chance.sum(axis=2, keepdims=True)
     ratio = np.zeros((STATES, STATES))
     ratio[:, 1:] = np.log(chance[0]) - np.log(chance[1])
     return ratio
 
 
-def random_spans(text: str, ratio: np.ndarray, taken: list[tuple[int, int]]) -> Iterator[tuple[int, int]]:
-    """Tokens with letters and digits that are more likely random than ordinary, apart from ``taken``."""
+def candidates(text: str) -> Iterator[re.Match]:
+    """Long tokens that have letters as well as digits."""
     for m in TOKEN.finditer(text):
+        if any(c.isdigit() for c in m[0]) and any(c.isalpha() for c in m[0]):
+            yield m
+
+
+def random_spans(text: str, ratio: np.ndarray, taken: list[tuple[int, int]]) -> Iterator[tuple[int, int]]:
+    """Candidates that are more likely random than ordinary, apart from ``taken``."""
+    for m in candidates(text):
         if any(a < m.end() and m.start() < b for a, b in taken):
             continue
-        token = m[0]
-        if token.isalpha() or not any(c.isdigit() for c in token) or not any(c.isalpha() for c in token):
-            continue
-        codes = CODES[np.frombuffer(token.encode(), np.uint8)]
+        codes = CODES[np.frombuffer(m[0].encode(), np.uint8)]
         score = ratio[np.concatenate(([0], codes[:-1])), codes].sum()
-        if score >= max(TOTAL, PER_CHARACTER * len(token)):
+        if score >= max(TOTAL, PER_CHARACTER * len(codes)):
             yield m.start(), m.end()
 
 

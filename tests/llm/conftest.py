@@ -4,7 +4,8 @@ import random
 
 import pytest
 
-WORDS = [f"w{i:03}" for i in range(400)]
+PARTS = "ba do fi gu ha je ki lo mu na or pe qua ri so ta ul ve wi za".split()
+WORDS = [a + b for a in PARTS for b in PARTS]
 
 
 @pytest.fixture
