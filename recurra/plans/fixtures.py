@@ -66,11 +66,11 @@ class Records:
     """Nested records over one folder of test tables."""
 
     _schemas: dict[str, T.StructType] = {}
-    _histories: dict[tuple[str, str, str], DataFrame] = {}
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder
+        self._histories: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
         """A test table; its schema is read from the file once."""
@@ -408,11 +408,10 @@ class Records:
         return state
 
     def stored_history(self, entity: str) -> DataFrame:
-        """The same state, built once per session and folder and then read as a stored table.
+        """The same state, built once per query and then read as a stored table.
 
         Facts and profiles are built on a history that earlier snapshot runs have left behind.
         """
-        at = (self.spark.sparkContext.applicationId, self.folder, entity)
-        if at not in self._histories:
-            self._histories[at] = self.history(entity)
-        return self._histories[at]
+        if entity not in self._histories:
+            self._histories[entity] = self.history(entity)
+        return self._histories[entity]

@@ -11,7 +11,10 @@ from pyspark.sql import functions as F
 
 from __spark_entry__ import entry, oracle_sql, queries
 from recurra.operators import facts
+from recurra.operators.quality import GOLD_CHECKS, SILVER_CHECKS
 from recurra.plans.medallion import Medallion
+from recurra.plans.oracle_sql import ORACLE_SQL
+from recurra.plans.queries import QUERIES
 from recurra.session import scratch_dir
 from recurra.sources.catalogue import RESOURCES
 from recurra.sources.schemas import declared_schema
@@ -26,7 +29,7 @@ def engine():
 
 
 @needs_tables
-@pytest.mark.parametrize("name", queries())
+@pytest.mark.parametrize("name", QUERIES)
 def test_query_equals_sql(spark, engine, name):
     _, _, problem = compare(spark, engine, name, queries()[name], oracle_sql()[name], TABLES)
     assert problem is None
@@ -38,7 +41,8 @@ def test_flagship(spark):
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLE_SQL)
+    assert QUERIES.keys() <= queries().keys() and ORACLE_SQL.keys() <= oracle_sql().keys()
 
 
 def _export(folder, patients, stays, observations):
@@ -144,3 +148,116 @@ def test_no_cross_joins_and_no_python(spark, name):
     plan = _plan(queries()[name](spark, TABLES))
     for forbidden in ("CartesianProduct", "BroadcastNestedLoopJoin", "ArrowEval", "BatchEvalPython"):
         assert forbidden not in plan
+
+
+# The declared data tests of every table.
+DECLARED = {
+    ("silver", "patient"): """
+        patient_id not_null
+        patient_id unique
+        gender accepted_values
+        birth_date not_null
+    """,
+    ("silver", "encounter"): """
+        encounter_id not_null
+        encounter_id unique
+        patient_id not_null
+        patient_id relationships
+        status accepted_values
+        encounter_class_code accepted_values
+        start_time not_null
+        length_of_stay_hours expression_is_true
+    """,
+    ("silver", "condition"): """
+        condition_id not_null
+        condition_id unique
+        patient_id not_null
+        patient_id relationships
+        snomed_code not_null
+    """,
+    ("silver", "procedure"): """
+        procedure_id not_null
+        procedure_id unique
+        patient_id not_null
+        patient_id relationships
+        snomed_code not_null
+    """,
+    ("silver", "organization"): """
+        organization_id not_null
+        organization_id unique
+    """,
+    ("silver", "practitioner"): """
+        practitioner_id not_null
+        practitioner_id unique
+    """,
+    ("silver", "observation"): """
+        observation_id not_null
+        observation_id unique
+        patient_id not_null
+        patient_id relationships
+    """,
+    ("silver", "medication_request"): """
+        medication_request_id not_null
+        medication_request_id unique
+        patient_id not_null
+        patient_id relationships
+    """,
+    ("gold", "dim_date"): """
+        date_key not_null
+        date_key unique
+        full_date not_null
+        full_date unique
+    """,
+    ("gold", "dim_patient"): """
+        patient_key not_null
+        patient_key unique
+        patient_id not_null
+        is_current not_null
+    """,
+    ("gold", "dim_provider"): """
+        provider_key not_null
+        provider_key unique
+        practitioner_id not_null
+    """,
+    ("gold", "dim_organization"): """
+        organization_key not_null
+        organization_key unique
+        organization_id not_null
+    """,
+    ("gold", "dim_condition"): """
+        condition_key not_null
+        condition_key unique
+        snomed_code not_null
+        snomed_code unique
+        occurrence_count not_null
+    """,
+    ("gold", "fact_encounter"): """
+        encounter_key not_null
+        encounter_key unique
+        encounter_id not_null
+        encounter_id unique
+        patient_key not_null
+        patient_key relationships
+        admission_date_key not_null
+        admission_date_key relationships
+        organization_key relationships
+    """,
+    ("gold", "fact_readmission"): """
+        readmission_key not_null
+        readmission_key unique
+        index_encounter_key not_null
+        index_encounter_key relationships
+        patient_key not_null
+        patient_key relationships
+        was_readmitted_30d not_null
+    """,
+}
+
+
+def test_all_declared_data_tests_are_there():
+    found = {}
+    for layer, checks in (("silver", SILVER_CHECKS), ("gold", GOLD_CHECKS)):
+        for c in checks:
+            found.setdefault((layer, c.table), []).append(f"{c.column} {c.test}")
+    assert found == {k: [x.strip() for x in v.strip().split("\n")] for k, v in DECLARED.items()}
+    assert sum(map(len, found.values())) == 69
