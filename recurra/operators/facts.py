@@ -20,10 +20,16 @@ def join_current(
     """Left join of the current version's columns.
 
     Spark broadcasts the current versions while they are below its size threshold and
-    otherwise joins by shuffle, splitting a key that is hot on the fact side.
+    otherwise joins by shuffle, splitting a key that is hot on the fact side. Facts without a key
+    match nothing; a hash of the row keeps them from gathering in one task.
     """
-    current = versions.filter("is_current").select(F.col(version_key).alias(fact_key), *columns)
-    return facts.join(current, fact_key, "left")
+    anywhere = F.when(F.col(fact_key).isNull(), F.pmod(F.xxhash64(*facts.columns), F.lit(4096))).otherwise(-1)
+    current = versions.filter("is_current").select(
+        F.col(version_key).alias("_key"), F.lit(-1).cast("long").alias("_spread"), *columns
+    )
+    spread = facts.withColumn("_at", anywhere.cast("long"))
+    joined = spread.join(current, (F.col(fact_key) == F.col("_key")) & (F.col("_at") == F.col("_spread")), "left")
+    return joined.drop("_key", "_spread", "_at")
 
 
 def fact_encounter(

@@ -474,6 +474,68 @@ _ENCOUNTER_PATHS = {
     ),
 }
 
+
+
+def _address_paths() -> dict[str, str]:
+    parts = ("", "[]", "[].line", "[].line[]", "[].city", "[].state", "[].postalCode", "[].country")
+    return {f"address{p}": "TRUE" for p in parts}
+
+
+_CODING_PATHS = ("valueCoding", "valueCoding.system", "valueCoding.code", "valueCoding.display")
+_LINKS = _plain_paths("id", "subject", "subject.reference", "encounter", "encounter.reference")
+_PATHS = {
+    "Patient": {
+        **_plain_paths("id", "gender", "birthDate", "maritalStatus", "extension"),
+        **_plain_paths("deceasedDateTime", when="c_custkey % 11 = 0"),
+        **_address_paths(),
+        **_concept_paths("maritalStatus", "TRUE"),
+        **_plain_paths(
+            "extension[]", "extension[].url", "extension[].extension", "extension[].extension[]",
+            "extension[].extension[].url", *(f"extension[].extension[].{p}" for p in _CODING_PATHS),
+            when="c_custkey % 13 <> 0",
+        ),
+    },
+    "Condition": {
+        **_LINKS,
+        **_plain_paths("category", "onsetDateTime", "recordedDate"),
+        **_plain_paths("abatementDateTime", when="l_linenumber % 2 = 0"),
+        **_concept_paths("clinicalStatus", "TRUE"),
+        **_concept_paths("verificationStatus", "TRUE"),
+        **_concept_paths("category[]", "TRUE"),
+        **_concept_paths("code", "TRUE"),
+    },
+    "Procedure": {
+        **_LINKS,
+        **_plain_paths("status", "performedPeriod", "performedPeriod.start", "performedPeriod.end"),
+        **_concept_paths("code", "TRUE"),
+        **_plain_paths("reasonCode", when="l_linenumber % 3 = 0"),
+        **_concept_paths("reasonCode[]", "l_linenumber % 3 = 0"),
+    },
+    "MedicationRequest": {
+        **_LINKS,
+        **_plain_paths("status", "intent", "authoredOn", "requester", "requester.reference"),
+        **_concept_paths("medicationCodeableConcept", "TRUE"),
+    },
+    "DocumentReference": _plain_paths(
+        "id", "subject", "subject.reference", "date", "content", "content[]", "content[].attachment",
+        "content[].attachment.contentType", "content[].attachment.data",
+    ),
+    "Organization": {
+        **_plain_paths("id", "name", "type", "telecom", "telecom[]", "telecom[].system", "telecom[].value"),
+        **_address_paths(),
+        **_concept_paths("type[]", "TRUE"),
+    },
+    "Practitioner": {
+        **_plain_paths(
+            "id", "gender", "name", "name[]", "name[].family", "name[].given", "name[].given[]", "name[].prefix",
+            "name[].prefix[]", "telecom", "telecom[]", "telecom[].system", "telecom[].value",
+        ),
+        **_address_paths(),
+    },
+    "Observation": _OBSERVATION_PATHS,
+    "Encounter": _ENCOUNTER_PATHS,
+}
+
 _REFERENCE = """
     (SELECT c_custkey, CASE c_custkey % 6
          WHEN 0 THEN 'Patient/' || c_custkey WHEN 1 THEN 'urn:uuid:' || c_custkey
@@ -807,9 +869,9 @@ ORACLE_SQL: dict[str, str] = {
         ),
         "line",
     ),
-    "profile_presence": _presence("Observation", "events", _OBSERVATION_PATHS)
-    + " UNION ALL "
-    + _presence("Encounter", "orders", _ENCOUNTER_PATHS),
+    "profile_presence": _with(
+        " UNION ALL ".join(_presence(name, _SOURCES[name], paths) for name, paths in _PATHS.items()), "line"
+    ),
     "profile_encounter": _with(
         """SELECT 'class' AS metric, encounter_class_code AS value, count(*) AS frequency FROM encounter GROUP BY 2
            UNION ALL SELECT 'status', status, count(*) FROM encounter GROUP BY 2""",

@@ -685,10 +685,9 @@ def profile_counts(r):
 @query
 def profile_presence(r):
     found = [
-        profiling.field_presence(records).withColumn("resource_type", F.lit(name))
-        for name, records in (("Observation", r.observation()), ("Encounter", r.encounter()))
+        profiling.field_presence(r.records(name)).withColumn("resource_type", F.lit(name)) for name in NAMES
     ]
-    return found[0].unionByName(found[1])
+    return reduce(DataFrame.unionByName, found)
 
 
 @query
