@@ -2,7 +2,8 @@
 
 Every shard owns ``nodes`` points of a ring. A document's key is hashed to one of 65,536 arcs; going
 clockwise from there, the first shard with room for the arc takes it, so no shard exceeds its share
-by more than ``slack`` (or, where no shard has room, by one arc). A new shard takes over only the
+by more than ``slack`` (or, where no shard has room, by one arc; large arcs go first, so that is a
+small one). A new shard takes over only the
 arcs before its points and what overflowed there. Equal texts share a key and stay together, unless
 they make up more than 1/64 of a shard: then the group is cut into that many keys by document id.
 
@@ -47,7 +48,7 @@ def place(arcs: dict[int, int], shards: int, nodes: int, slack: float) -> dict[i
             clockwise[k] = order
     loads, chosen = [0] * shards, {}
     room = -(-int(sum(arcs.values()) * (1 + slack)) // shards)
-    for arc in sorted(arcs):
+    for arc in sorted(arcs, key=lambda a: (-arcs[a], a)):
         walk = clockwise[bisect.bisect_left(positions, arc << (64 - ARC_BITS)) % len(points)]
         size = arcs[arc]
         taken = next((s for s in walk if loads[s] + size <= room), None)

@@ -35,7 +35,7 @@ from recurra.llm.common import row_key, stored
 WINDOW = 50
 ANCHOR = 20
 SIDE = WINDOW - ANCHOR
-CROWD = 2048
+CROWD = 65_536
 CHUNK = 1 << 22
 BASE = 0x9E3779B97F4A7C15
 INVERSE = pow(BASE, -1, 1 << 64)

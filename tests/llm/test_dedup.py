@@ -33,7 +33,7 @@ def passages(prose):
     return rows
 
 
-@pytest.mark.parametrize("crowd", [2048, 3])
+@pytest.mark.parametrize("crowd", [65_536, 3])
 def test_suffix_dedup_against_brute_force(spark, table, prose, monkeypatch, crowd):
     monkeypatch.setattr(suffix_dedup, "CROWD", crowd)
     rows = passages(prose)
