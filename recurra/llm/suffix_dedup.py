@@ -6,8 +6,8 @@ Equal windows have equal anchors, so suffixes that start at anchors, and the rev
 before them, tell all windows apart.
 
 1. Anchors that occur in a single document are left out (their hashes are compared in packed form).
-2. Of anchors with the same surroundings (everything a window around them can hold), all but the
-   one with the smallest id are covered whole.
+2. Of anchors with the same surroundings (everything a window around them can hold), all but those
+   in the document with the smallest id are covered whole. The first one there stands for all that it holds.
 3. What is left per anchor are different surroundings. Their suffixes are sorted, to the right and
    to the left: prefix polynomial hashes and binary search give the common extension of two suffixes
    in logarithmic time, mergesort uses it to compare, and neighbours are verified byte by byte.
@@ -15,6 +15,7 @@ before them, tell all windows apart.
    stretch of the right order with extensions of ``WINDOW - a`` and one of the left order with ``a``.
    Anchors with more than ``CROWD`` different surroundings are not sorted in one task: their windows
    are grouped by a 128-bit hash instead.
+4. What is found for the first of the same surroundings in a document holds for all of them there.
 
 Defined cases: null and short texts lose nothing; rows without id count as having a larger id than
 all others (equal texts the same one); rows that repeat an id do not count as each other's copy; extra
@@ -256,23 +257,30 @@ def covered(group: np.ndarray, doc: np.ndarray, around: list[bytes], anchor: np.
 
 
 def _spans(doc: np.ndarray, at: np.ndarray, hit: np.ndarray) -> pa.RecordBatch:
-    """Rows (doc, check sum, start, end) of the stretches of covered windows around anchors."""
+    """Rows (doc, at, start, end) of the stretches of covered windows around anchors."""
     before = np.pad(hit, ((0, 0), (1, 1)))
     row, first = np.nonzero(before[:, 1:-1] & ~before[:, :-2])
     row2, last = np.nonzero(before[:, 1:-1] & ~before[:, 2:])
     position = (at >> 32)[row]
     # Windows that start ``last`` to ``first`` bytes before the anchor.
-    columns = [doc[row], (at & 0xFFFFFFFF)[row], position - last, position - first + WINDOW]
-    return pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=["doc", "crc", "start", "end"])
+    columns = [doc[row], at[row], position - last, position - first + WINDOW]
+    return pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=["doc", "at", "start", "end"])
 
 
-SPANS = "doc long, crc long, start long, end long"
+SPANS = "doc long, at long, start long, end long"
 
 
-def _different(docs: DataFrame, hits: DataFrame) -> DataFrame:
+def _surroundings(hits: DataFrame) -> DataFrame:
+    """``h``, ``c``, the smallest ``doc`` with its first ``at``, its ``last`` one if that is another, and
+    whether the surroundings are ``copied`` in larger ids."""
+    last = F.min(F.struct(F.col("doc"), (-F.col("at")).alias("back")))
+    found = hits.groupBy("h", "c").agg(F.min(F.struct("doc", "at")).alias("o"), last.alias("l"), F.max("doc").alias("most"))
+    other = F.when(F.col("l.back") != -F.col("o.at"), -F.col("l.back"))
+    return stored(found.select("h", "c", "o.doc", "o.at", other.alias("last"), (F.col("o.doc") < F.col("most")).alias("copied")), "surroundings")
+
+
+def _different(docs: DataFrame, first: DataFrame) -> DataFrame:
     """Spans from comparing the different surroundings of an anchor, each from its smallest id."""
-    first = hits.groupBy("h", "c").agg(F.min(F.struct("doc", "at")).alias("o")).select("h", "c", "o.doc", "o.at")
-    first = stored(first, "surroundings")
     many = stored(first.groupBy("h").agg(F.count("*").alias("n")).where("n > 1"), "anchors")
     wanted = first.join(many, "h").select("h", "n", "doc", "at")
     asked = wanted.groupBy("doc", F.col("at").bitwiseAND(F.lit(0xFFFFFFFF)).alias("crc")).agg(F.collect_list(F.struct("h", "n", "at")).alias("asked"))
@@ -331,25 +339,24 @@ def _different(docs: DataFrame, hits: DataFrame) -> DataFrame:
     least = stored(each.groupBy("window").agg(F.min("doc").alias("least"), F.max("doc").alias("most")).where("least < most"), "least")
     begin = F.shiftright("at", 32) - F.col("before")
     crowded = each.join(least.select("window", "least"), "window").where("doc > least")
-    return sorted_spans.union(
-        crowded.select("doc", F.col("at").bitwiseAND(F.lit(0xFFFFFFFF)).alias("crc"), begin.alias("start"), (begin + WINDOW).alias("end"))
-    )
+    return sorted_spans.union(crowded.select("doc", "at", begin.alias("start"), (begin + WINDOW).alias("end")))
 
 
 def removed_spans(docs: DataFrame) -> DataFrame:
     """Spans of covered bytes of ``docs`` (``doc``, ``crc``, ``text`` as bytes); they may overlap."""
     shared = _shared(docs)
     hits = _hits(docs, shared)
-    first = stored(hits.groupBy("h", "c").agg(F.min("doc").alias("least"), F.max("doc").alias("most")).where("least < most"), "copies")
-    again = hits.join(first.select("h", "c", "least"), ["h", "c"]).where("doc > least")
-    position = F.shiftright("at", 32)
-    whole = again.select(
-        "doc",
-        F.col("at").bitwiseAND(F.lit(0xFFFFFFFF)).alias("crc"),
-        F.greatest(position - SIDE, F.lit(0)).alias("start"),
-        (position + WINDOW).alias("end"),
-    )
-    return whole.union(_different(docs, hits))
+    first, crc, position = _surroundings(hits), F.col("at").bitwiseAND(F.lit(0xFFFFFFFF)).alias("crc"), F.shiftright("at", 32)
+    copied = first.where("copied").select("h", "c", F.col("doc").alias("least"))
+    again = hits.join(copied, ["h", "c"]).where("doc > least")
+    whole = again.select("doc", crc, F.greatest(position - SIDE, F.lit(0)).alias("start"), (position + WINDOW).alias("end"))
+    different = stored(_different(docs, first), "different")
+    inner = first.where("last IS NOT NULL").select("h", "c", "doc", F.col("at").alias("first"))
+    others = stored(hits.join(inner, ["h", "c", "doc"]).where("at <> first").select("doc", "first", "at").distinct(), "others")
+    shift = position - F.shiftright("first", 32)
+    found = different.withColumnRenamed("at", "first").join(others, ["doc", "first"])
+    repeated = found.select("doc", crc, (F.col("start") + shift).alias("start"), (F.col("end") + shift).alias("end"))
+    return whole.union(different.select("doc", crc, "start", "end")).union(repeated)
 
 
 def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

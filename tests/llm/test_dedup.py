@@ -46,6 +46,26 @@ def test_suffix_dedup_against_brute_force(spark, table, prose, monkeypatch, crow
         assert r.n_bytes == len(r.kept) + sum(b - a for a, b in ends)
 
 
+@pytest.mark.parametrize("crowd", [65_536, 3])
+def test_suffix_dedup_of_repeats_within_the_smallest_document(spark, table, prose, monkeypatch, crowd):
+    monkeypatch.setattr(suffix_dedup, "CROWD", crowd)
+    rows = []
+    for k, size in enumerate((55, 60, 65, 70, 78, 90, 140)):
+        line = prose(700 + k, 40)[:size]
+        rows += [(10 * k, f"{prose(800 + k, 12)} {line} {prose(850 + k, 12)}")]
+        # Larger ids repeat it in the same context; the first of these holds that context first.
+        rows += [(10 * k + d, f"{prose(900 + 10 * k + d, 15)} " + "".join(f"\n| {line} |\n" for _ in range(8))) for d in (1, 2)]
+    got = suffix_dedup.without_repeats(table(rows).repartition(3)).collect()
+    assert {r.doc_id: bytes(r.kept) for r in got} == removed_by_brute_force(rows)
+
+
+def test_suffix_dedup_of_rows_that_share_an_id(spark, table, prose):
+    line = prose(31, 30)[:60]
+    rows = [(1, f"{prose(32, 20)} {line} {prose(33, 20)}"), *((2, f"{prose(40 + k, 20)} {prose(34, 20)} {line} {prose(35, 20)}") for k in range(5))]
+    got = suffix_dedup.without_repeats(table(rows)).where("doc_id = 2").collect()
+    assert len(got) == 5 and not any(line.encode() in bytes(r.kept) for r in got)
+
+
 def test_suffix_dedup_of_repeated_ids_and_nothing(spark, table, prose):
     text = prose(5, 40)
     got = suffix_dedup.without_repeats(table([(1, text), (1, text), (None, text), (None, text)])).collect()
