@@ -4,9 +4,10 @@ A page is read into a tree of elements. Menus, headers, footers, sidebars, notic
 comments, scripts and styles, known by element, role or class name, carry no text. Every other node
 gets a density: its characters per tag, corrected for links (the share of characters and of tags inside
 links). The sum of the densities of a node's children marks containers of text; the node with the
-largest sum is the article. The least density on the way from the body to that node is the threshold:
-inside the same article element, neighbours of that way at or above it belong to the text as well, and
-so do headings beside the way before the article. Elements within running text count as tags only.
+largest sum is the core of the article. The article is the outermost article or main element around it,
+or without one the largest ancestor that has paragraphs, lists or tables beside the way to the core. All
+of the article is text but lists and boxes beside that way that are mostly links; so are headings beside the way
+before the article. Elements within running text count as tags only.
 
 Blocks are the texts of block elements; two line breaks in a row also end a block. References are
 decoded, white space becomes one space, empty blocks vanish.
@@ -61,6 +62,8 @@ ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "dial
 NEVER = {"html", "body", "article", "main"}
 LINKS = {"a"}
 HEADINGS = {"h1", "h2", "h3"}
+#: What an article has besides its headings.
+PROSE = {"p", "li", "dd", "pre", "blockquote", "table", "figcaption"}
 #: Blocks of running text, which are not looked at as containers.
 RUNNING = {"p", "h1", "h2", "h3", "h4", "h5", "h6", "li", "dt", "dd", "pre", "caption", "figcaption", "summary", "hr", "address"}
 
@@ -144,8 +147,8 @@ class Page:
             if tag not in BLOCKS and open_tag in BLOCKS:
                 return
 
-    def densities(self) -> tuple[list[float], list[float]]:
-        """Composite density of every node and the sum over its children."""
+    def densities(self) -> tuple[list[int], list[int], list[float]]:
+        """Characters and linked characters of every node, and the sum of its children's composite densities."""
         n = len(self.tags)
         linked = [False] * n
         for i in range(1, n):
@@ -165,45 +168,53 @@ class Page:
                 link_tags[p] += link_tags[i] + linked[i]
         body = next((i for i in range(n) if self.tags[i] == "body"), 0)
         share = link_chars[body] / max(1, chars[body])
-        density, sums = [0.0] * n, [0.0] * n
+        sums = [0.0] * n
         for i in range(n):
             c, lc, t, lt = chars[i], link_chars[i], max(1, tags[i]), max(1, link_tags[i])
             if c and not self.dead[i]:
                 base = math.log(c * lc / max(1, c - lc) + share * c + math.e)
                 ratio = max(c * t / (max(1, lc) * lt), 1.0 + 1e-9)
-                density[i] = c / t * math.log(ratio) / base
                 if i:
-                    sums[self.parents[i]] += density[i]
-        return density, sums
+                    sums[self.parents[i]] += c / t * math.log(ratio) / base
+        return chars, link_chars, sums
 
-    def article(self) -> set[int]:
-        """The nodes whose subtrees are the main text."""
-        density, sums = self.densities()
+    def article(self) -> tuple[set[int], set[int]]:
+        """The nodes whose subtrees are the main text, and those inside that are not."""
+        chars, link_chars, sums = self.densities()
         live = [i for i in range(len(self.tags)) if not self.dead[i]]
         boxes = [i for i in live if i == 0 or self.tags[i] in BLOCKS and self.tags[i] not in RUNNING]
         best = max(boxes, key=lambda i: (sums[i], -i))
         if not sums[best]:
-            return {0}
+            return {0}, set()
         way = [best]
         while self.parents[way[-1]] >= 0:
             way.append(self.parents[way[-1]])
-        threshold = min(density[i] for i in way if density[i])
-        frame = next((i for i in reversed(way) if self.tags[i] in ("article", "main")), best)
-        inside = set(way[: way.index(frame) + 1])
-        roots = {best}
-        for i in live:
-            beside = self.parents[i] in way[1:] and i not in way
-            if beside and (self.parents[i] in inside and density[i] >= threshold or self.tags[i] in HEADINGS and i < best):
-                roots.add(i)
-        return roots
+        above, on_way = set(way[1:]), set(way)
+        beside = [i for i in live if self.parents[i] in above and i not in on_way]
+        links = {i for i in beside if 2 * link_chars[i] > chars[i] and self.tags[i] in BLOCKS - RUNNING - {"hgroup"}}
+        frame = next((i for i in reversed(way) if self.tags[i] in ("article", "main")), None)
+        if frame is None:
+            frame = self._frame(way, set(beside) - links, chars, link_chars)
+        outside = set(way[way.index(frame) + 1 :])
+        return {frame, *(i for i in beside if self.parents[i] in outside and self.tags[i] in HEADINGS and i < best)}, links
+
+    def _frame(self, way: list[int], beside: set[int], chars: list[int], link_chars: list[int]) -> int:
+        """The largest node of the way that has prose in one of the nodes ``beside`` it."""
+        branch, wide = [-1] * len(self.tags), {way[0]}
+        for i in range(1, len(self.tags)):
+            p = self.parents[i]
+            branch[i] = i if i in beside else branch[p]
+            if branch[i] >= 0 and self.tags[i] in PROSE and not self.dead[i] and 2 * link_chars[i] < chars[i]:
+                wide.add(self.parents[branch[i]])
+        return next(i for i in reversed(way) if i in wide)
 
     def text(self) -> str:
-        roots = self.article()
+        roots, cut = self.article()
         n = len(self.tags)
         kept, block = [False] * n, [0] * n
         for i in range(n):
             p = self.parents[i]
-            kept[i] = i in roots or p >= 0 and kept[p]
+            kept[i] = (i in roots or p >= 0 and kept[p]) and i not in cut
             block[i] = i if i == 0 or self.tags[i] in BLOCKS else block[p]
         out, parts, last, breaks = [], [], None, 0
 

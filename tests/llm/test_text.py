@@ -128,6 +128,23 @@ def test_main_text():
     assert html_density.main_text("<div>" * 3000 + "deep" + "</div>" * 3000) == "deep"
 
 
+@pytest.mark.parametrize("frame", ["article", "main", "div"])
+def test_all_parts_of_an_article_stay(prose, frame):
+    draw = lambda seed, size: prose(seed, size)[:size].strip()
+    sections = [[draw(10 * k + j, size) for j in range(5)] for k, size in enumerate((300, 200, 200))]
+    intro, row, item, bare = draw(90, 60), draw(91, 40), draw(92, 400), draw(93, 50)
+    parts = [f"<section><h2><a href=#{k}>Part {k}</a></h2>{''.join(f'<p>{t}</p>' for t in s)}</section>" for k, s in enumerate(sections)]
+    links = "<ul>" + "".join(f"<li><a href=/{k}>Elsewhere {k}</a></li>" for k in range(8)) + "</ul>"
+    page = (
+        f"<body><ul><li><a href=/home>Home page</a></ul><div><h1>Title</h1><{frame}><p>{intro}</p>{''.join(parts)}"
+        f"{links}<table><tr><td>{row}</td></tr></table><ul><li>{item}</li></ul>{bare} <a href=/x>of it</a></{frame}></div></body>"
+    )
+    expected = ["Title", intro]
+    for k, s in enumerate(sections):
+        expected += [f"Part {k}", *s]
+    assert html_density.main_text(page).split("\n") == [*expected, row, item, f"{bare} of it"]
+
+
 def test_pages_keep_their_columns(spark):
     pages = spark.createDataFrame([(1, "u", PAGE, "x"), (None, None, None, "y")], "page_id long, url string, html string, text string")
     got = {r.page_id: r.text for r in html_density.extract(pages).collect()}
