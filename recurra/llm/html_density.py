@@ -1,13 +1,15 @@
 """Main text of web pages by composite text density.
 
 A page is read into a tree of elements. Menus, headers, footers, sidebars, notices, adverts, forms,
-comments, scripts and styles, known by element, role or class name, carry no text. Every other node
+comments, scripts and styles, known by element, role or class name, carry no text. A class name alone is
+not believed of an element that holds the main element, the only h1, the only articles or, on a page
+without these elements elsewhere, most of its unlinked text; what is inside is then judged by itself. Every other node
 gets a density: its characters per tag, corrected for links (the share of characters and of tags inside
 links). The sum of the densities of a node's children marks containers of text; the node with the
 largest sum is the core of the article. The article is the outermost article or main element around it,
 or without one the largest ancestor that has paragraphs, lists or tables beside the way to the core. All
 of the article is text but lists and boxes beside that way that are mostly links; so are headings beside the way
-before the article. Elements within running text count as tags only.
+before the article, and a title in a box there if the article has none. Elements within running text count as tags only.
 
 Blocks are the texts of block elements; two line breaks in a row also end a block. References are
 decoded, white space becomes one space, empty blocks vanish.
@@ -58,6 +60,14 @@ NAMES = re.compile(
     r"paginat\w+|pager|login|search\w*|skip-link|copyright|disclaimer|tags?|tag-?list)(?:$|[\s_-]|\d)",
     re.I,
 )
+#: Tokens that say what a page has or lacks, not what an element is.
+COMPOUND = re.compile(r"(?:has|no|not|with|without|is)-", re.I)
+#: Names of what other people or pages say, however much it is.
+OTHERS = re.compile(
+    r"comment|disqus|repl(?:y|ies)|respond|discussion|related|recommend|widget|sponsor|promo|advert|adsense|cookie|consent|gdpr|"
+    r"newsletter|subscri|disclaimer|copyright|footer|(?:^|[\s_-])ads?(?:$|[\s_-]|\d)",
+    re.I,
+)
 ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "dialog", "alertdialog", "alert", "form", "menu", "menubar", "toolbar"}
 NEVER = {"html", "body", "article", "main"}
 LINKS = {"a"}
@@ -77,8 +87,6 @@ def _noise(tag: str, attributes: str, stack: list[int], tags: list[str]) -> bool
         return False
     for m in ATTRIBUTE.finditer(attributes):
         name, value = (m[1] or m[3]).lower(), (m[2] or "").strip("\"'")
-        if name in ("class", "id") and NAMES.search(re.sub(r"(?<=[a-z])(?=[A-Z])", "-", value)):
-            return True
         if name == "role" and value.lower() in ROLES or name == "hidden":
             return True
         if name == "aria-hidden" and value.lower() == "true" or name == "style" and re.search(r"display\s*:\s*none", value, re.I):
@@ -86,11 +94,24 @@ def _noise(tag: str, attributes: str, stack: list[int], tags: list[str]) -> bool
     return False
 
 
+def _named(tag: str, attributes: str) -> str:
+    """The class names and ids of an element that sound like noise."""
+    if not attributes or tag in NEVER:
+        return ""
+    found = []
+    for m in ATTRIBUTE.finditer(attributes):
+        if (m[1] or "").lower() in ("class", "id"):
+            tokens = re.sub(r"(?<=[a-z])(?=[A-Z])", "-", m[2].strip("\"'")).split()
+            found += [t for t in tokens if not COMPOUND.match(t) and NAMES.search(t)]
+    return " ".join(found)
+
+
 class Page:
     """The tree of a page in lists: parents come before children, texts in page order."""
 
     def __init__(self, source: str) -> None:
         self.tags, self.parents, self.dead, self.texts = ["#root"], [-1], [False], []
+        self.names: dict[int, str] = {}
         stack, at = [0], 0
         match, end = TAG.search(source), len(source)
         while match:
@@ -111,6 +132,8 @@ class Page:
             match = TAG.search(source, at)
         if at < end:
             self.texts.append((stack[-1], source[at:]))
+        if self.names:
+            self._believe()
 
     def _open(self, tag: str, attributes: str, stack: list[int]) -> None:
         if tag in CLOSES_P:
@@ -123,6 +146,8 @@ class Page:
         self.tags.append(tag)
         self.parents.append(stack[-1])
         self.dead.append(self.dead[stack[-1]] or _noise(tag, attributes, stack, self.tags))
+        if not self.dead[node] and (name := _named(tag, attributes)):
+            self.names[node] = name
         if tag == "br":
             self.texts.append((node, ""))
         if tag not in VOID and not attributes.endswith("/") or tag in BLOCKS and tag != "hr":
@@ -147,6 +172,33 @@ class Page:
             if tag not in BLOCKS and open_tag in BLOCKS:
                 return
 
+    def _believe(self) -> None:
+        """Elements whose names sound like noise carry no text, unless they hold what a page is about."""
+        n = len(self.tags)
+        linked, named = [False] * n, [False] * n
+        for i in range(1, n):
+            p = self.parents[i]
+            linked[i] = linked[p] or self.tags[i] in LINKS
+            named[i] = named[p] or i in self.names
+        own, holds = [0] * n, [False] * n
+        for node, text in self.texts:
+            if not self.dead[node] and not linked[node]:
+                own[node] += len("".join(text.split()))
+        live = [i for i in range(n) if not self.dead[i]]
+        only = not any(self.tags[i] in ("article", "main") and not named[i] for i in live)
+        articles = [self.tags[i] == "article" and only for i in range(n)]
+        title = next((i for i in sorted(live, key=lambda i: (named[i], i)) if self.tags[i] == "h1"), -1)
+        for i in range(n - 1, 0, -1):
+            p = self.parents[i]
+            if not self.dead[i]:
+                holds[i] = holds[i] or self.tags[i] == "main" or i == title
+                holds[p], articles[p], own[p] = holds[p] or holds[i], articles[p] or articles[i], own[p] + own[i]
+        for i in range(1, n):
+            if i in self.names and not holds[i]:
+                most = articles[i] or only and 2 * own[i] > own[0]
+                self.dead[i] = not most or bool(OTHERS.search(self.names[i]))
+            self.dead[i] = self.dead[i] or self.dead[self.parents[i]]
+
     def densities(self) -> tuple[list[int], list[int], list[float]]:
         """Characters and linked characters of every node, and the sum of its children's composite densities."""
         n = len(self.tags)
@@ -196,7 +248,14 @@ class Page:
         if frame is None:
             frame = self._frame(way, set(beside) - links, chars, link_chars)
         outside = set(way[way.index(frame) + 1 :])
-        return {frame, *(i for i in beside if self.parents[i] in outside and self.tags[i] in HEADINGS and i < best)}, links
+        roots = {frame, *(i for i in beside if self.parents[i] in outside and self.tags[i] in HEADINGS and i < best)}
+        within = [False] * len(self.tags)
+        for i in range(len(self.tags)):
+            within[i] = i in roots or i > 0 and within[self.parents[i]]
+        titles = [i for i in live if self.tags[i] == "h1" and chars[i]]
+        if titles and titles[0] < best and not any(within[i] for i in titles):
+            roots.add(titles[0])
+        return roots, links
 
     def _frame(self, way: list[int], beside: set[int], chars: list[int], link_chars: list[int]) -> int:
         """The largest node of the way that has prose in one of the nodes ``beside`` it."""

@@ -145,6 +145,26 @@ def test_all_parts_of_an_article_stay(prose, frame):
     assert html_density.main_text(page).split("\n") == [*expected, row, item, f"{bare} of it"]
 
 
+@pytest.mark.parametrize("name", ["content has-sidebar", "layout no-sidebar", "content-sidebar-wrap", "post-header", "hasNav"])
+@pytest.mark.parametrize("frame", ["article", "main", "div"])
+def test_names_of_wrappers_do_not_hide_what_is_inside(prose, name, frame):
+    texts = [prose(k, 60) for k in range(3)]
+    inside = f"<{frame}><h1>Title</h1>{''.join(f'<p>{t}</p>' for t in texts)}</{frame}>"
+    noise = f"<div class='sidebar'><p>{prose(9, 30)}</p></div><div id=comments><article><p>{prose(8, 400)}</p></article></div>"
+    whole = f"<body><div class='{name}'>{inside}{noise}</div></body>"
+    heading = f"<body><div class='box'><div class='{name}'><h1>Title</h1></div>{inside.replace('<h1>Title</h1>', '')}</div>{noise}</body>"
+    for page in (whole, heading):
+        assert html_density.main_text(page).split("\n") == ["Title", *texts]
+
+
+def test_names_of_most_of_the_text(prose):
+    text, other = prose(1, 90), prose(2, 20)
+    assert html_density.main_text(f"<div class='search-page'><p>{text}</p></div><div class='notice'><p>{other}</p></div>") == text
+    masthead, ad = "<div class=masthead><h1>Site</h1></div>", f"<div class=ad>{text}</div>"
+    assert html_density.main_text(f"{masthead}{ad}<article><h1>Title</h1><p>{other}</p></article>") == f"Title\n{other}"
+    assert html_density.main_text(f"<div class='comments'><p>{text}</p></div><div><p>{other}</p></div>") == other
+
+
 def test_pages_keep_their_columns(spark):
     pages = spark.createDataFrame([(1, "u", PAGE, "x"), (None, None, None, "y")], "page_id long, url string, html string, text string")
     got = {r.page_id: r.text for r in html_density.extract(pages).collect()}
