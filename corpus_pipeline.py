@@ -29,8 +29,9 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The shard and slot of every document."""
-    return ring_shards.shard(docs)
+    """The shard and slot of every document; the slots of a shard follow the schedule of the mix."""
+    placed = pfair_mix.with_places(docs).select("row.doc_id", "row.text", "at.slot", "at.place")
+    return ring_shards.shard(placed, order=("slot", "place"))
 
 
 STAGES = [

@@ -145,10 +145,14 @@ def mix(
     )
 
 
-def in_order(docs: DataFrame, **options) -> DataFrame:
-    """``docs`` in the order of the mix: partitions follow the slots, rows within follow the places."""
+def with_places(docs: DataFrame, **options) -> DataFrame:
+    """``key``, ``row`` (all columns of ``docs``) and ``at`` (slot and place in the mix; that of the first row with the key)."""
     names = {k: options[k] for k in ("id_col", "text_col") if k in options}
     places = mix(docs, **options).groupBy("key").agg(F.min(F.struct("slot", "place")).alias("at"))
-    keyed = docs.select(row_key(**names).alias("key"), F.struct("*").alias("row")).join(places, "key")
-    ordered = keyed.withColumn("slot", F.col("at.slot")).repartitionByRange("slot", "key")
+    return docs.select(row_key(**names).alias("key"), F.struct("*").alias("row")).join(places, "key")
+
+
+def in_order(docs: DataFrame, **options) -> DataFrame:
+    """``docs`` in the order of the mix: partitions follow the slots, rows within follow the places."""
+    ordered = with_places(docs, **options).withColumn("slot", F.col("at.slot")).repartitionByRange("slot", "key")
     return ordered.sortWithinPartitions("slot", "at.place", "key").select("row.*")

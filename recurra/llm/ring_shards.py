@@ -10,6 +10,9 @@ they make up more than 1/64 of a shard: then the group is cut into that many key
 Only arc totals (65,536 rows at most, however long the table) and the groups to be cut (each holds
 over 1/64 of a shard, so there are at most 128 per shard) leave the executors.
 
+Slots of a shard go by arc and id, or by the numbers in ``order`` where these are given: then rows are
+counted by shard and range of the first number, and numbered within these.
+
 Defined cases: a null text counts as empty; rows without id and repeated rows are placed like others,
 in the arc of their text; an empty table gives no rows; extra columns are ignored.
 """
@@ -27,6 +30,7 @@ from recurra.llm.common import stored
 ARC_BITS = 16
 PARTS = 64
 OVERHEAD = 16
+RANGES = 1024
 
 
 def ring(shards: int, nodes: int) -> list[tuple[int, int]]:
@@ -66,6 +70,7 @@ def shard(
     slack: float = 0.002,
     id_col: str = "doc_id",
     text_col: str = "text",
+    order: tuple[str, ...] = (),
 ) -> DataFrame:
     """``doc_id``, ``size``, ``text_crc32``, ``home`` (shard before overflow), ``shard`` and ``slot`` per row."""
     spark, text = docs.sparkSession, F.coalesce(F.col(text_col).cast("string"), F.lit(""))
@@ -75,6 +80,7 @@ def shard(
             (F.octet_length(text) + OVERHEAD).cast("long").alias("size"),
             F.crc32(text).alias("text_crc32"),
             F.xxhash64(text).alias("group"),
+            *(F.col(c).cast("long").alias(f"_o{k}") for k, c in enumerate(order)),
         ),
         "sizes",
     )
@@ -99,9 +105,24 @@ def shard(
         filled[to] += arcs[a].n
     kinds = (("at", pa.int32()), ("home", pa.int32()), ("shard", pa.int32()), ("first", pa.int64()))
     columns = {n: pa.array([r[k] for r in table], kind) for k, (n, kind) in enumerate(kinds)}
+    placed = F.broadcast(spark.createDataFrame(pa.table(columns)))
+    if order:
+        return _numbered(rows, keyed.join(placed, F.col("arc") == F.col("at")), len(order))
     inside = F.row_number().over(Window.partitionBy("arc").orderBy("doc_id", "group"))
     return (
         keyed.withColumn("inside", inside)
-        .join(F.broadcast(spark.createDataFrame(pa.table(columns))), F.col("arc") == F.col("at"))
+        .join(placed, F.col("arc") == F.col("at"))
         .select("doc_id", "size", "text_crc32", "home", "shard", (F.col("first") + F.col("inside") - 1).cast("long").alias("slot"))
     )
+
+
+def _numbered(rows: DataFrame, placed: DataFrame, columns: int) -> DataFrame:
+    """``placed`` with the slots of every shard in the order of ``_o0``, ``_o1`` and so on, then of the ids."""
+    most = rows.agg(F.coalesce(F.max("_o0"), F.lit(0))).first()[0]
+    ranged = placed.withColumn("range", F.floor(F.col("_o0") / (most // RANGES + 1)).cast("int"))
+    before = Window.partitionBy("of").orderBy("nth").rowsBetween(Window.unboundedPreceding, -1)
+    counts = ranged.groupBy(F.col("shard").alias("of"), F.col("range").alias("nth")).agg(F.count("*").alias("n"))
+    starts = counts.select("of", "nth", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
+    inside = F.row_number().over(Window.partitionBy("shard", "range").orderBy(*(f"_o{k}" for k in range(columns)), "doc_id", "group"))
+    numbered = ranged.withColumn("inside", inside).join(starts, (F.col("shard") == F.col("of")) & (F.col("range") == F.col("nth")))
+    return numbered.select("doc_id", "size", "text_crc32", "home", "shard", (F.col("start") + F.col("inside") - 1).cast("long").alias("slot"))

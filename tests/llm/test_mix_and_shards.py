@@ -8,6 +8,7 @@ from fractions import Fraction
 
 import pytest
 
+import corpus_pipeline
 from recurra.llm import pfair_mix, ring_shards
 
 SHARES = [{"a": 1, "b": 1}, {"a": 7, "b": 2, "c": 1}, {"a": 100, "b": 1, "c": 33, "d": 17}, {"a": 5}, dict.fromkeys("abcdefg", 3)]
@@ -86,6 +87,29 @@ def test_shards_are_near_equal_whole_and_gapless(spark, table, prose):
     assert ring_shards.shard(table([])).count() == 0
 
 
+def test_slots_of_the_pipeline_follow_the_mix(spark, table, prose):
+    rows = [(k, prose(k, 5 + k % 9), "en", ("big", "mid", None)[(k % 13 > 7) + (k % 13 > 11)]) for k in range(3000)]
+    rows += [(None, "no id", "en", "mid")] * 2
+    mixed = corpus_pipeline.mix(spark, table(rows), "")
+    places = {r.doc_id: (r.slot, r.place) for r in pfair_mix.mix(table(rows)).collect()}
+    source, shards = {r[0]: r[3] for r in rows}, {}
+    got = corpus_pipeline.shards(spark, mixed, "").collect()
+    assert Counter(r.doc_id for r in got) == Counter(r[0] for r in rows)
+    for r in got:
+        shards.setdefault(r.shard, []).append((r.slot, r.doc_id))
+    first = Counter()
+    for held in shards.values():
+        held.sort()
+        assert [s for s, _ in held] == list(range(len(held)))
+        known = [i for _, i in held if i is not None]
+        assert [places[i] for i in known] == sorted(places[i] for i in known)
+        first.update(source[i] for i in known[: len(known) // 3])
+    weights = {s: n**0.5 for s, n in Counter(source.values()).items()}
+    for s, w in weights.items():
+        assert abs(first[s] / sum(first.values()) - w / sum(weights.values())) < 0.05
+    assert corpus_pipeline.shards(spark, table([]), "").count() == 0
+
+
 def test_bounded_loads_and_little_movement():
     arcs = {a: 10 + a * 7919 % 50 for a in range(0, 1 << 16, 16)}
     few, more = (ring_shards.place(arcs, n, 64, 0.05) for n in (20, 21))
