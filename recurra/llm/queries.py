@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from recurra.llm import (
     benchmark_leaks,
+    filter_audit,
     html_density,
     markov_secrets,
     pfair_mix,
@@ -143,3 +144,45 @@ SELECT coalesce(l.file, r.file) AS file, coalesce(l.position, r.position) AS pos
 FROM (SELECT * FROM leaves WHERE side = 'p') l FULL JOIN (SELECT * FROM leaves WHERE side = 'r') r USING (page_id)
 WHERE l.digest IS DISTINCT FROM r.digest
 """
+
+
+@query
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(filter_audit.masks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")))
+
+
+ORACLE_SQL["op12_filter_audit"] = r"""
+WITH docs AS (
+    SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text,
+        list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words
+    FROM documents),
+judged AS (
+    SELECT part, coalesce(quality = 1, false) AS good, coalesce(toxic = 1, false) AS toxic,
+        len(words) < 50 AS fails_a, 100 * len(list_distinct(words)) < 65 * len(words) AS fails_b,
+        100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 5 * length(text) AS fails_c,
+        regexp_matches(text, '[#$%&*|]') AS fails_d, doc_id > min(doc_id) OVER (PARTITION BY text) AS fails_e
+    FROM docs LEFT JOIN labels USING (doc_id)),
+kinds AS (
+    SELECT part, good, toxic, fails_a, fails_b, fails_c, fails_d, fails_e, count(*) AS n,
+        [fails_a, fails_b, fails_c, fails_d, fails_e] AS fails
+    FROM judged GROUP BY ALL),
+letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS f),
+orders AS (
+    SELECT [a.f, b.f, c.f, d.f, e.f] AS o FROM letters a, letters b, letters c, letters d, letters e
+    WHERE len(list_distinct([a.f, b.f, c.f, d.f, e.f])) = 5),
+steps AS (SELECT array_to_string(o, '') AS filter_order, s::INT AS step, o[s] AS f, o[:s - 1] AS before FROM orders, range(1, 6) r(s)),
+failed AS (SELECT *, list_filter(['A', 'B', 'C', 'D', 'E'], lambda x, i: fails[i]) AS bad FROM kinds),
+rows_ AS (
+    SELECT part, filter_order, step, f,
+        sum(CASE WHEN NOT list_has_any(bad, before) AND NOT list_contains(bad, f) THEN n ELSE 0 END) AS kept,
+        sum(CASE WHEN NOT list_has_any(bad, before) AND list_contains(bad, f) THEN n ELSE 0 END) AS removed,
+        sum(CASE WHEN list_has_any(bad, before) AND list_contains(bad, f) THEN n ELSE 0 END) AS redundant,
+        sum(CASE WHEN bad = [f] THEN n ELSE 0 END) AS unique_fails,
+        sum(CASE WHEN NOT list_has_any(bad, before) AND list_contains(bad, f) AND good THEN n ELSE 0 END) AS good_lost,
+        sum(CASE WHEN NOT list_has_any(bad, before) AND list_contains(bad, f) AND toxic THEN n ELSE 0 END) AS toxic_lost
+    FROM failed, steps GROUP BY ALL)
+SELECT part, filter_order, step, kept::BIGINT AS kept, removed::BIGINT AS removed, redundant::BIGINT AS redundant,
+    unique_fails::BIGINT AS unique_fails, good_lost::BIGINT AS good_lost, toxic_lost::BIGINT AS toxic_lost,
+    (sum(removed) OVER (PARTITION BY part, f))::BIGINT AS shapley
+FROM rows_
+"""
