@@ -10,6 +10,7 @@ from recurra.llm import (
     html_density,
     markov_secrets,
     pfair_mix,
+    prefix_trie,
     quality_mcd,
     ring_shards,
     simhash_dedup,
@@ -186,3 +187,44 @@ SELECT part, filter_order, step, kept::BIGINT AS kept, removed::BIGINT AS remove
     (sum(removed) OVER (PARTITION BY part, f))::BIGINT AS shapley
 FROM rows_
 """
+
+
+@query
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.conversation_trie(table(spark, sf_dir, "conversations"))
+
+
+ORACLE_SQL["op13_prefix_trie"] = r"""
+WITH own AS (
+    SELECT conv_id AS c, sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS token, length(coalesce(text, '')) AS size,
+        row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, token) AS pos
+    FROM conversations WHERE conv_id IS NOT NULL),
+heads AS (
+    SELECT DISTINCT c, xor(4294967295::UBIGINT, list_reduce(
+        list_prepend(4294967295::UBIGINT, list_transform(string_split(c::VARCHAR, ''), lambda x: ascii(x)::UBIGINT)),
+        lambda crc, b: list_reduce([xor(crc, b), 0, 0, 0, 0, 0, 0, 0, 0]::UBIGINT[],
+            lambda a, z: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384::UBIGINT) ELSE a >> 1 END))) % 6 AS h
+    FROM own),
+turns AS (
+    SELECT h.c, o.token, o.size, o.pos AS place FROM heads h JOIN own o ON o.c = h.c - h.c % 100 AND o.pos <= h.h
+    UNION ALL SELECT h.c, o.token, o.size, 1000 + o.pos FROM heads h JOIN own o ON o.c = h.c AND o.pos > h.h),
+paths AS (
+    SELECT c, size, row_number() OVER w AS depth, string_agg(token, '') OVER w AS path
+    FROM turns WINDOW w AS (PARTITION BY c ORDER BY place)
+    UNION ALL SELECT c, 0, 0, '' FROM heads),
+ends AS (
+    SELECT path, sha256(string_agg(c::VARCHAR, ',' ORDER BY c)) AS ends_sha256
+    FROM (SELECT c, max_by(path, depth) AS path FROM paths GROUP BY c) GROUP BY path),
+nodes AS (
+    SELECT path, depth, min(c) AS conv_id, count(*) AS n_convs, any_value(size) AS size, left(path, 64 * (depth - 1)) AS parent
+    FROM paths GROUP BY path, depth),
+children AS (SELECT parent, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY parent),
+below AS (
+    SELECT left(n.path, 64 * k) AS path, count(*) FILTER (ch.n_children IS NULL) AS n_leaves,
+        sum((n.n_convs - 1) * n.size) AS saved_tokens
+    FROM (SELECT *, unnest(range(0, depth + 1)) AS k FROM nodes) n LEFT JOIN children ch ON ch.parent = n.path GROUP BY ALL)
+SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs, coalesce(ch.n_children, 0) AS n_children, b.n_leaves,
+    b.saved_tokens::BIGINT AS saved_tokens, coalesce(e.ends_sha256, sha256('')) AS ends_sha256
+FROM nodes n JOIN below b USING (path) LEFT JOIN ends e USING (path) LEFT JOIN children ch ON ch.parent = n.path
+LEFT JOIN nodes p ON n.depth > 0 AND p.path = n.parent
+"""
