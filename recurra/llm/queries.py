@@ -12,6 +12,7 @@ from recurra.llm import (
     pfair_mix,
     prefix_trie,
     quality_mcd,
+    rank_profiles,
     ring_shards,
     simhash_dedup,
     suffix_dedup,
@@ -228,3 +229,8 @@ SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs, coalesce(ch.n
 FROM nodes n JOIN below b USING (path) LEFT JOIN ends e USING (path) LEFT JOIN children ch ON ch.parent = n.path
 LEFT JOIN nodes p ON n.depth > 0 AND p.path = n.parent
 """
+
+
+@query
+def op11_rank_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rank_profiles.identify(table(spark, sf_dir, "documents"))
