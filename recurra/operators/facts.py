@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from ..functions.keys import surrogate_key
 from ..functions.times import date_key
 from .asof import asof_join
-from .repeat import repeat_events
+from .ordered import asof_in_order
+from .repeat import repeat_events, repeat_events_in_order
 from .skew import HOT_ROWS
 
 
@@ -36,9 +37,13 @@ def fact_encounter(
     encounter: DataFrame,
     dim_patient: DataFrame,
     dim_organization: DataFrame,
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = None,
 ) -> DataFrame:
-    """One row per encounter with the patient version valid at admission."""
+    """One row per encounter with the patient version valid at admission.
+
+    Encounters and versions are merged in order of time; with ``hot_rows`` they are joined on the patient,
+    patients with more encounters cut into slices.
+    """
     versions = dim_patient.select("patient_key", "patient_id", "valid_from", "valid_to")
     visits = encounter.select(
         "encounter_id",
@@ -53,7 +58,10 @@ def fact_encounter(
         "discharge_disposition_code",
         "length_of_stay_hours",
     )
-    visits = asof_join(visits, versions, "patient_id", "start_time", hot_rows=hot_rows)
+    if hot_rows is None:
+        visits = asof_in_order(visits, versions, "patient_id", "start_time")
+    else:
+        visits = asof_join(visits, versions, "patient_id", "start_time", hot_rows=hot_rows)
     visits = join_current(
         visits, dim_organization, "service_provider_id", "organization_id", "organization_key"
     )
@@ -77,24 +85,21 @@ def index_admissions(
     encounter: DataFrame,
     classes: Sequence[str] = ("IMP",),
     horizon_days: int = 30,
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
-    """Inpatient admissions with their next admission and the readmission flags."""
+    """Inpatient admissions with their next admission and the readmission flags.
+
+    Lazy, with patients above ``hot_rows`` cut into slices. With None admissions are written in ranges of
+    patient and time first (``ordered.in_ranges``), which spreads any patient, day or missing time.
+    """
     stays = encounter.filter(F.col("encounter_class_code").isin(*classes)).select(
         "encounter_id",
         "patient_id",
         F.col("start_time").alias("admission_time"),
         F.col("end_time").alias("discharge_time"),
     )
-    repeats = repeat_events(
-        stays,
-        "patient_id",
-        "admission_time",
-        "discharge_time",
-        "encounter_id",
-        horizon_days,
-        hot_rows,
-    )
+    names = ("patient_id", "admission_time", "discharge_time", "encounter_id", horizon_days)
+    repeats = repeat_events_in_order(stays, *names) if hot_rows is None else repeat_events(stays, *names, hot_rows)
     return repeats.select(
         *stays.columns,
         F.col("next_start").alias("next_admission_time"),
@@ -107,7 +112,7 @@ def index_admissions(
 
 
 def fact_readmission(
-    encounter: DataFrame, fact_encounter: DataFrame, hot_rows: int = HOT_ROWS
+    encounter: DataFrame, fact_encounter: DataFrame, hot_rows: int | None = None
 ) -> DataFrame:
     """One row per index admission, with the keys of its encounter fact."""
     keys = fact_encounter.select(

@@ -5,12 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.codings import coding
 from ..functions.times import parse_iso, parse_iso_day
+from ..session import scratch_dir
 from ..sources.catalogue import RESOURCES
 from ..sources.provenance import PROVENANCE_COLUMNS
 
@@ -84,6 +85,68 @@ def field_presence(records: DataFrame) -> DataFrame:
     ).orderBy("path")
 
 
+_NODE = "struct<path:string,value:variant>"
+
+
+def _below(node: Column) -> Column:
+    """What an object or array holds, each with its path; nothing below a scalar, and NULLs left out."""
+    path = node["path"]
+
+    def member(entry: Column) -> Column:
+        named = F.when(path == "", entry["key"]).otherwise(F.concat(path, F.lit("."), entry["key"]))
+        return F.struct(named.alias("path"), entry["value"].alias("value"))
+
+    members = F.transform(F.map_entries(node["value"].try_cast("map<string,variant>")), member)
+    elements = F.transform(
+        node["value"].try_cast("array<variant>"),
+        lambda x: F.struct(F.concat(path, F.lit("[]")).alias("path"), x.alias("value")),
+    )
+    held = F.coalesce(members, elements, F.array().cast(f"array<{_NODE}>"))
+    return F.filter(held, lambda n: n["value"].isNotNull() & ~F.is_variant_null(n["value"]))
+
+
+def record_presence(records: DataFrame, record: str, levels: int = 12) -> DataFrame:
+    """Share of records in which each path is filled, in percent, for whatever fields the records hold.
+
+    ``record`` is a column of JSON texts; no schema is declared or inferred. A record is walked level by
+    level within its row: a level is the list of its values with their paths, the next one what these
+    hold. A record counts once for a path; paths are counted before anything is shuffled. ``levels`` of
+    them are walked in one pass over the records. Only if some record is deeper (told by a count taken on
+    the way) is another pass made, over what such records hold below. Paths are written ``a.b``, ``a[]`` and
+    ``a[].b``; a NULL value is an absent one; texts that are no JSON object are not records.
+    """
+    spark = records.sparkSession
+    value = F.try_parse_json(F.col(record))
+    is_object = F.schema_of_variant(value).startswith("OBJECT")
+    root = F.array(F.struct(F.lit("").alias("path"), value.alias("value"))).cast(f"array<{_NODE}>")
+    walked = records.filter(is_object).select(root.alias("_0"), F.array().cast("array<string>").alias("_seen"))
+    found, total = [], None
+    while True:
+        for level in range(levels):
+            walked = walked.withColumn(f"_{level + 1}", F.flatten(F.transform(f"_{level}", _below)))
+        paths = F.flatten(F.array(*[F.transform(f"_{level + 1}", lambda n: n["path"]) for level in range(levels)]))
+        walked = walked.withColumn("_new", F.array_except(paths, F.col("_seen")))
+        deeper = F.exists(F.col(f"_{levels}"), lambda n: F.schema_of_variant(n["value"]).rlike("^(OBJECT|ARRAY)<"))
+        counted, folder = Observation(), scratch_dir(spark, "presence")
+        counts = (
+            walked.observe(counted, F.count(F.lit(1)).alias("records"), F.count_if(deeper).alias("deeper"))
+            .select(F.explode("_new").alias("path"))
+            .groupBy("path")
+            .agg(F.count(F.lit(1)).alias("present"))
+        )
+        counts.write.parquet(folder)
+        found.append(spark.read.schema(counts.schema).parquet(folder))
+        total = counted.get["records"] if total is None else total
+        if not counted.get["deeper"]:
+            break
+        rest = walked.filter(deeper).select(F.col(f"_{levels}").alias("_0"), F.array_union("_seen", "_new").alias("_seen"))
+        folder = scratch_dir(spark, "deeper")
+        rest.write.parquet(folder)
+        walked = spark.read.schema(rest.schema).parquet(folder)
+    share = F.round(F.sum("present") * F.lit(100.0) / F.lit(total), 1)
+    return reduce(DataFrame.unionByName, found).groupBy("path").agg(share.alias("presence_pct")).orderBy("path")
+
+
 def distribution(df: DataFrame, name: str, value: Column) -> DataFrame:
     """Rows per non-null value: metric, value, frequency."""
     return (

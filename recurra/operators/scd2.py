@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.keys import version_id
@@ -27,10 +27,54 @@ def _opened(key: str, run_at: Column) -> list[Column]:
     ]
 
 
-def initial_snapshot(source: DataFrame, key: str, run_at: Column) -> DataFrame:
+def initial_snapshot(source: DataFrame, key: str, run_at: Column, unique: bool = False) -> DataFrame:
+    """Every source row as an open version; ``unique`` if the keys are known to be."""
+    source = source if unique else _once_per_key(source, key)
     return source.select("*", *_opened(key, run_at))
 
 
+def _once_per_key(source: DataFrame, key: str) -> DataFrame:
+    """``source``, or an error if it holds a key twice. Copies of a key combine on the map side."""
+    rest = [c for c in source.columns if c != key]
+    name = F.coalesce(F.col(key).cast("string"), F.lit("NULL"))
+    message = F.concat(F.lit(f"{key} is not unique in the source: "), name)
+    counted = source.groupBy(key).agg(F.count(F.lit(1)).alias("_copies"), F.any_value(F.struct(F.lit(0), *rest)).alias("_row"))
+    once = counted.filter(F.when(F.col("_copies") == 1, True).otherwise(F.raise_error(message).cast("boolean")))
+    # The key stays the grouping column, so a join on it needs no second shuffle.
+    return once.select(*[F.col(key) if c == key else F.col("_row")[c].alias(c) for c in source.columns])
+
+
+def changed_versions(
+    open_rows: DataFrame,
+    source: DataFrame,
+    key: str,
+    checked: Sequence[str],
+    run_at: Column,
+    close_missing: bool = True,
+) -> DataFrame:
+    """The open versions after a run and those it closes, from the open versions before it."""
+    columns = [*source.columns, *VERSION_COLUMNS]
+    source = _once_per_key(source, key)
+    held = open_rows.select(F.col(key).alias("_key"), F.struct(*columns).alias("_old"))
+    new_rows = initial_snapshot(source, key, run_at, unique=True).select(F.col(key).alias("_key"), F.struct(*columns).alias("_new"))
+    pairs = held.join(new_rows, "_key", "full_outer")
+
+    old, new = F.col("_old"), F.col("_new")
+    changed = F.lit(False)
+    for column in checked:
+        changed = changed | ~old[column].eqNullSafe(new[column])
+    ended = F.struct(
+        *[run_at.alias(c) if c == "dbt_valid_to" else old[c].alias(c) for c in columns]
+    )
+    outcome = (
+        F.when(old.isNull(), F.array(new))
+        .when(new.isNull(), F.array(ended if close_missing else old))
+        .when(changed, F.array(ended, new))
+        .otherwise(F.array(old))
+    )
+    return pairs.select(F.inline(outcome))
+
+
 def merge_snapshot(
     state: DataFrame | None,
     source: DataFrame,
@@ -49,10 +93,6 @@ def merge_snapshot(
     A column that the source gained is NULL in the versions before it. A key that the source holds
     twice stops the run, since it would open two versions.
     """
-    copies = Window.partitionBy(key).orderBy(key)
-    twice = F.row_number().over(copies) > 1
-    message = F.concat(F.lit(f"{key} is not unique in the source: "), F.col(key).cast("string"))
-    source = source.withColumn("_twice", twice).filter(F.when(F.col("_twice"), F.raise_error(message)).otherwise(True)).drop("_twice")
     if state is None:
         return initial_snapshot(source, key, run_at)
     for f in source.schema:
@@ -61,25 +101,5 @@ def merge_snapshot(
     columns = [*source.columns, *VERSION_COLUMNS]
     closed = state.filter(F.col("dbt_valid_to").isNotNull()).select(*columns)
 
-    open_rows = state.filter(F.col("dbt_valid_to").isNull()).select(
-        F.col(key).alias("_key"), F.struct(*columns).alias("_old")
-    )
-    new_rows = initial_snapshot(source, key, run_at).select(
-        F.col(key).alias("_key"), F.struct(*columns).alias("_new")
-    )
-    pairs = open_rows.join(new_rows, "_key", "full_outer")
-
-    old, new = F.col("_old"), F.col("_new")
-    changed = F.lit(False)
-    for column in checked:
-        changed = changed | ~old[column].eqNullSafe(new[column])
-    ended = F.struct(
-        *[run_at.alias(c) if c == "dbt_valid_to" else old[c].alias(c) for c in columns]
-    )
-    outcome = (
-        F.when(old.isNull(), F.array(new))
-        .when(new.isNull(), F.array(ended if close_missing else old))
-        .when(changed, F.array(ended, new))
-        .otherwise(F.array(old))
-    )
-    return closed.unionByName(pairs.select(F.inline(outcome)))
+    open_rows = state.filter(F.col("dbt_valid_to").isNull())
+    return closed.unionByName(changed_versions(open_rows, source, key, checked, run_at, close_missing))

@@ -727,6 +727,17 @@ ORACLE_SQL: dict[str, str] = {
             FROM patient_history""",
         "patient_history",
     ),
+    "scd2_parts": _with(
+        f"""SELECT patient_id, marital_status_code, last_visit, {_times('dbt_valid_from dbt_valid_to')}, dbt_scd_id
+            FROM patient_history""",
+        "patient_history",
+    ),
+    "scd2_parts_written": _with(
+        f"""SELECT CASE WHEN dbt_valid_to IS NULL THEN 'open' ELSE 'closed' END AS part,
+                   strftime(dbt_valid_to, {TS}) AS closed_at, count(*) AS rows
+            FROM patient_history GROUP BY ALL""",
+        "patient_history",
+    ),
     "scd2_hard_delete": _with(
         f"""SELECT patient_id, strftime(gone, {TS}) AS dbt_valid_to, strftime(since, {TS}) AS dbt_valid_from
             FROM (SELECT h.patient_id, h.dbt_valid_from AS since, h.dbt_valid_to AS gone FROM patient_history h
@@ -813,6 +824,21 @@ ORACLE_SQL: dict[str, str] = {
             FROM observation""",
         "observation",
     ),
+    "observation_buckets": _with(
+        f"""SELECT observation_id, patient_id, strftime(effective_time, {TS}) AS effective_time, value_number,
+                   CASE WHEN effective_time < TIMESTAMP '2024-01-20' THEN 'first' ELSE 'second' END AS load
+            FROM observation""",
+        "observation",
+    ),
+    "observation_mark": _with(
+        f"""SELECT observation_id, patient_id, strftime(effective_time, {TS}) AS effective_time, value_number, load
+            FROM (SELECT *, CASE WHEN effective_time < TIMESTAMP '2024-01-20' AND patient_id::BIGINT % 3 <> 0 THEN 'first'
+                      WHEN effective_time > (SELECT max(effective_time) FROM observation
+                          WHERE effective_time < TIMESTAMP '2024-01-20' AND patient_id::BIGINT % 3 <> 0) THEN 'second' END AS load
+                  FROM observation)
+            WHERE load IS NOT NULL""",
+        "observation",
+    ),
     "corpus_upsert": """
         SELECT doc_id, CASE WHEN lang = 'en' AND n_chars <= 200 THEN 'stored' ELSE 'added' END AS origin,
                CASE WHEN lang = 'en' AND n_chars <= 200 THEN md5(source) ELSE md5(text) END AS digest
@@ -872,6 +898,23 @@ ORACLE_SQL: dict[str, str] = {
     "profile_presence": _with(
         " UNION ALL ".join(_presence(name, _SOURCES[name], paths) for name, paths in _PATHS.items()), "line"
     ),
+    "profile_presence_undeclared": r"""
+        WITH parts AS (
+            SELECT o_orderkey AS k, json_object('id', o_orderkey::VARCHAR, 'status', 'final',
+                'meta', json_object('source', CASE WHEN o_orderkey % 6 <> 0
+                    THEN json_object('a.b', o_orderstatus, 'grid', json_array(json_array(o_orderkey % 9), json_array())) END,
+                    'priority', nullif(o_orderpriority, '5-LOW')),
+                'review', CASE WHEN o_orderkey % 5 <> 0 THEN json_array(
+                    json_object('by', o_orderpriority, 'grade', CASE WHEN o_orderkey % 3 <> 0 THEN o_orderkey % 7 END,
+                        'marks', CASE WHEN o_orderkey % 4 = 0 THEN json_array(o_orderkey % 2, NULL) ELSE json_array() END),
+                    CASE WHEN o_orderkey % 2 <> 0 THEN json_object('by', NULL, 'grade', NULL, 'marks', NULL) END) END)::VARCHAR AS line,
+                CASE o_orderkey % 8 WHEN 1 THEN ',"extra":{"x":' || o_orderkey || '}' WHEN 2 THEN ',"extra":"none"'
+                    WHEN 3 THEN ',"extra":{"l1":{"l2":{"l3":{"l4":[[{"l5":1}]]}}}}' ELSE '' END AS other
+            FROM orders),
+        found AS (
+            SELECT DISTINCT k, substr(replace(regexp_replace(fullkey, '\[[0-9]+\]', '[]', 'g'), '"', ''), 3) AS path
+            FROM parts, json_tree((left(line, length(line) - 1) || other || '}')::JSON) t WHERE t.type <> 'NULL' AND fullkey <> '$')
+        SELECT path, round(count(*) * 100.0 / (SELECT count(*) FROM orders), 1) AS presence_pct FROM found GROUP BY path""",
     "profile_encounter": _with(
         """SELECT 'class' AS metric, encounter_class_code AS value, count(*) AS frequency FROM encounter GROUP BY 2
            UNION ALL SELECT 'status', status, count(*) FROM encounter GROUP BY 2""",

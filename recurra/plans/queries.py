@@ -27,13 +27,15 @@ from ..operators import (
     silver,
     validation,
 )
-from ..operators.asof import asof_join
 from ..operators.contracts import CONTRACTS
+from ..operators.ordered import asof_in_order
+from ..operators.parts import merge_buckets, merge_history
 from ..operators.quality import Check
 from ..operators.scd2 import CHECKED_COLUMNS, merge_snapshot
 from ..session import prepare, scratch_dir
 from ..sources.catalogue import RESOURCES
-from ..sources.ndjson import read_ndjson
+from ..sources.commits import Commit, Commits, TableFiles
+from ..sources.ndjson import RECORD, read_ndjson
 from ..sources.provenance import add_provenance, bad_lines, ingest
 from ..sources.schemas import declared_schema
 from ..sources.tables import read_table
@@ -92,7 +94,7 @@ class Star:
 
 
 def _admissions(r: Records) -> DataFrame:
-    return facts.index_admissions(silver.encounter(r.encounter()))
+    return facts.index_admissions(silver.encounter(r.encounter()), hot_rows=None)
 
 
 @query
@@ -438,6 +440,49 @@ def scd2_new_column(r):
     return merged.select("patient_id", "dbt_valid_from", "dbt_valid_to", "visit_note")
 
 
+def _parts_history(r: Records) -> tuple[Commits, Commit]:
+    """The patients' history as parts, one commit per run, and what two more runs make of it.
+
+    A run on the last run's source changes nothing; one without any patient breaks off before its commit.
+    """
+    commits = Commits(r.spark, scratch_dir(r.spark, "history"))
+    commit = None
+
+    def merged(source: DataFrame, run_at: str) -> TableFiles:
+        held = commit.tables["patient"] if commit else None
+        return merge_history(commits, held, source, "patient_id", CHECKED_COLUMNS["patient"], F.lit(run_at).cast("timestamp"))
+
+    for run_at in (*RUNS, "2002-01-01"):
+        files = merged(r.patient_as_of(min(run_at, RUNS[-1])), run_at)
+        commit = commits.publish(run_at, {"patient": files}, commit)
+    merged(r.patient_as_of(RUNS[-1]).limit(0), "2003-01-01")
+    return commits, commits.newest()
+
+
+@query
+def scd2_parts(r):
+    """The same history from open and closed parts; files of a run that broke off are not seen."""
+    commits, commit = _parts_history(r)
+    return commit.tables["patient"].read(r.spark, commits.root).select(
+        "patient_id", "marital_status_code", "last_visit", "dbt_valid_from", "dbt_valid_to", "dbt_scd_id"
+    )
+
+
+@query
+def scd2_parts_written(r):
+    """Rows in the files of each part: a folder of closed versions per run that closed any, and one of open ones."""
+    commits, commit = _parts_history(r)
+    files = commit.tables["patient"]
+    counts = [
+        r.spark.read.schema(files.schema)
+        .parquet(f"{commits.root}/{folder}")
+        .agg(F.lit(part).alias("part"), F.max("dbt_valid_to").alias("closed_at"), F.count(F.lit(1)).alias("rows"))
+        for part, folders in files.parts.items()
+        for folder in folders
+    ]
+    return reduce(DataFrame.unionByName, counts)
+
+
 @query
 def dim_patient(r):
     return dimensions.dim_patient(r.history("patient"))
@@ -464,7 +509,7 @@ def asof_patient_version(r):
     versions = dimensions.dim_patient(r.stored_history("patient")).select(
         "patient_id", "patient_key", "valid_from", "valid_to", "marital_status_code"
     )
-    return asof_join(visits, versions, "patient_id", "start_time")
+    return asof_in_order(visits, versions, "patient_id", "start_time")
 
 
 @query
@@ -573,6 +618,31 @@ def observation_incremental(r):
     return merged.select("observation_id", "patient_id", "effective_time", "value_number", "load")
 
 
+@query
+def observation_buckets(r):
+    """The same two loads into buckets by key, of which a load writes those it changes; and both again, which change nothing."""
+    source = silver.observation(r.observation()).withColumn("load", F.lit("second"))
+    early = F.col("effective_time") < F.lit("2024-01-20").cast("timestamp")
+    commits, commit = Commits(r.spark, scratch_dir(r.spark, "observations")), None
+    first = source.filter(early).withColumn("load", F.lit("first"))
+    for batch in (first, source, source, first):
+        held = commit.tables["observation"] if commit else None
+        files = merge_buckets(commits, held, batch, "observation_id", "effective_time", buckets=16)
+        commit = commits.publish("load", {"observation": files}, commit)
+    merged = files.read(r.spark, commits.root)
+    return merged.select("observation_id", "patient_id", "effective_time", "value_number", "load")
+
+
+@query
+def observation_mark(r):
+    """The strict high-water mark: events of every third user come late, and those not after the mark are lost."""
+    source = silver.observation(r.observation()).withColumn("load", F.lit("second"))
+    seen = F.col("effective_time") < F.lit("2024-01-20").cast("timestamp")
+    target = source.filter(seen & (F.col("patient_id").cast("long") % 3 != 0)).withColumn("load", F.lit("first"))
+    merged = incremental.incremental_merge(target, source, "observation_id", "effective_time", only_newer=True)
+    return merged.select("observation_id", "patient_id", "effective_time", "value_number", "load")
+
+
 @query
 def corpus_upsert(r):
     """English documents are stored already; the others and the longer English ones are added."""
@@ -690,6 +760,31 @@ def profile_presence(r):
     return reduce(DataFrame.unionByName, found)
 
 
+def _undeclared(r: Records) -> DataFrame:
+    """Observation lines of all orders with fields, arrays and nested values that no schema declares."""
+    k = "o_orderkey"
+    review = f"""CASE {k} % 5 WHEN 0 THEN NULL ELSE array(
+        named_struct('by', o_orderpriority, 'grade', if({k} % 3 = 0, NULL, {k} % 7), 'marks', if({k} % 4 = 0, array({k} % 2, NULL), array())),
+        if({k} % 2 = 0, NULL, named_struct('by', NULL, 'grade', NULL, 'marks', NULL))) END"""
+    meta = f"""named_struct('source', if({k} % 6 = 0, NULL, named_struct('a.b', o_orderstatus, 'grid', array(array({k} % 9), array()))),
+        'priority', nullif(o_orderpriority, '5-LOW'))"""
+    line = F.expr(f"to_json(named_struct('id', CAST({k} AS STRING), 'status', 'final', 'meta', {meta}, 'review', {review}), map('ignoreNullFields', 'false'))")
+    # A value that is an object in some records and a text in others, and one nested deeper than the rest.
+    other = F.expr(f"""CASE {k} % 8 WHEN 1 THEN concat(',"extra":{{"x":', {k}, '}}') WHEN 2 THEN ',"extra":"none"'
+        WHEN 3 THEN ',"extra":{{"l1":{{"l2":{{"l3":{{"l4":[[{{"l5":1}}]]}}}}}}}}' ELSE '' END""")
+    parts = r.table("orders").select(line.alias("line"), other.alias("other"))
+    return parts.select(F.expr("concat(left(line, length(line) - 1), other, '}')").alias("value"))
+
+
+@query
+def profile_presence_undeclared(r):
+    """Presence of every field that loaded records hold, found without a schema and in passes of four levels."""
+    source, target = scratch_dir(r.spark, "lines"), scratch_dir(r.spark, "bronze")
+    _undeclared(r).write.text(source)
+    ingest(r.spark, source, target, "bronze_test", declared_schema("Observation"))
+    return profiling.record_presence(read_table(r.spark, target), RECORD, levels=4)
+
+
 @query
 def profile_encounter(r):
     return profiling.encounter_distributions(r.encounter(dirty=True))

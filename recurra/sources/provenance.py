@@ -88,6 +88,38 @@ def ingest(
     return StageReport(target_table, counts, run_id)
 
 
+def ingest_once(
+    spark: SparkSession,
+    source_path: str,
+    folder: str,
+    run_id: str,
+    schema: T.StructType,
+    spread: int | None = None,
+) -> tuple[StageReport, T.StructType]:
+    """Load one resource type and set its bad lines apart, in a single pass and write.
+
+    ``folder`` gets one folder for records (``side(folder, False)``) and, if there are any, one for lines
+    that hold none (``side(folder, True)``). Also returns the schema of both.
+    """
+    counted = Observation()
+    found = read_records(spark, source_path, schema, spread).observe(
+        counted,
+        F.count_if(~F.col(BAD_LINE)).alias("loaded"),
+        F.count_if(BAD_LINE).alias("bad_lines"),
+        F.count_if(MISTYPED).alias("mistyped"),
+    )
+    rows = add_provenance(found, run_id)
+    rows.write.partitionBy(BAD_LINE).parquet(folder)
+    counts, stored = dict(counted.get), T.StructType([f for f in rows.schema if f.name != BAD_LINE])
+    if not counts["loaded"]:
+        spark.createDataFrame([], stored).write.parquet(side(folder, False))
+    return StageReport(side(folder, False), counts, run_id), stored
+
+
+def side(folder: str, bad: bool) -> str:
+    return f"{folder}/{BAD_LINE}={str(bad).lower()}"
+
+
 def bad_lines(target_table: str) -> str:
     """Where the lines go that could not be loaded into a table."""
     return f"{target_table}_bad_lines"
