@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Observation, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -127,17 +127,20 @@ def record_presence(records: DataFrame, record: str, levels: int = 12) -> DataFr
         paths = F.flatten(F.array(*[F.transform(f"_{level + 1}", lambda n: n["path"]) for level in range(levels)]))
         walked = walked.withColumn("_new", F.array_except(paths, F.col("_seen")))
         deeper = F.exists(F.col(f"_{levels}"), lambda n: F.schema_of_variant(n["value"]).rlike("^(OBJECT|ARRAY)<"))
-        counted, folder = Observation(), scratch_dir(spark, "presence")
+        # Beside its paths each record adds to the count of records and, if need be, to that of deeper ones.
+        entry = "array<struct<kind:int,path:string>>"
+        marks = F.array(F.struct(F.lit(1), F.lit(None)), F.struct(F.when(deeper, 2), F.lit(None))).cast(entry)
+        entries = F.concat(F.transform("_new", lambda p: F.struct(F.lit(0), p)).cast(entry), marks)
         counts = (
-            walked.observe(counted, F.count(F.lit(1)).alias("records"), F.count_if(deeper).alias("deeper"))
-            .select(F.explode("_new").alias("path"))
-            .groupBy("path")
-            .agg(F.count(F.lit(1)).alias("present"))
+            walked.select(F.inline(entries)).filter("kind IS NOT NULL").groupBy("kind", "path").agg(F.count(F.lit(1)).alias("present"))
         )
+        folder = scratch_dir(spark, "presence")
         counts.write.parquet(folder)
-        found.append(spark.read.schema(counts.schema).parquet(folder))
-        total = counted.get["records"] if total is None else total
-        if not counted.get["deeper"]:
+        counts = spark.read.schema(counts.schema).parquet(folder)
+        found.append(counts.filter("kind = 0"))
+        sizes = {r.kind: r.present for r in counts.filter("kind > 0").collect()}
+        total = sizes.get(1, 0) if total is None else total
+        if 2 not in sizes:
             break
         rest = walked.filter(deeper).select(F.col(f"_{levels}").alias("_0"), F.array_union("_seen", "_new").alias("_seen"))
         folder = scratch_dir(spark, "deeper")
