@@ -688,6 +688,13 @@ def entity_profile(r):
 # --- retrieval -----------------------------------------------------------------------------
 
 
+def _kept(df: DataFrame, purpose: str) -> DataFrame:
+    """``df`` written below the scratch folder and read back."""
+    path = scratch_dir(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def _first_vector(vectors: DataFrame, entity: str, item: str) -> DataFrame:
     """Per entity the vector of its first item, used as the entity's query."""
     return vectors.groupBy(entity).agg(F.min_by("vector", item).alias("query_vector"))
@@ -715,7 +722,7 @@ def entity_topk(r):
 @query
 def library_topk(r):
     queries = r.table("documents").select("doc_id", text_vector("text").alias("query_vector"))
-    found = retrieval.library_topk(queries.filter("query_vector IS NOT NULL"), _library(r), "doc_id", "entry_id")
+    found = retrieval.library_search(queries, _library(r), "doc_id", "entry_id")
     return found.withColumn("distance", F.round("distance", 6))
 
 
@@ -728,11 +735,13 @@ def evidence_bundle(r):
     vectors = retrieval.notes(r.document_reference()).select(
         "patient_id", F.col("note_id").cast("long").alias("note_id"), text_vector("note_text").alias("vector")
     )
+    # Notes are decoded and turned into vectors once; the searches read vectors.
+    vectors = _kept(vectors, "note-vectors")
     queries = _first_vector(vectors, "patient_id", "note_id")
     bundle = retrieval.evidence_bundle(
         profiles,
         retrieval.entity_topk(queries, vectors, "patient_id", "note_id"),
-        retrieval.library_topk(queries, _library(r), "patient_id", "entry_id"),
+        retrieval.library_search(queries, _library(r), "patient_id", "entry_id"),
         "patient_id",
         "note_id",
         "entry_id",
