@@ -681,6 +681,12 @@ ORACLE_SQL: dict[str, str] = {
         UNION ALL SELECT 'loaded', NULL, count(*) FROM lines WHERE event_id % 50 <> 7
         UNION ALL SELECT 'bad_lines', NULL, count(*) FROM lines WHERE event_id % 50 = 7
         UNION ALL SELECT 'mistyped', NULL, count(*) FROM lines WHERE event_id % 40 = 3 AND event_id % 50 <> 7""",
+    "bronze_new_files": """
+        SELECT CASE WHEN event_id % 50 <> 7 THEN CAST(event_id AS VARCHAR) END AS id,
+               CASE WHEN event_id % 50 <> 7 THEN CAST(event_id % 100 AS DOUBLE) END AS value,
+               CASE WHEN event_id % 3 = 0 THEN 'load-0' ELSE 'load-1' END AS run_id
+        FROM events""",
+    "bronze_default_run": "SELECT true AS named, CAST(1 AS BIGINT) AS runs, count(*) AS rows FROM orders",
     "ingest_counts": _with(
         " UNION ALL ".join(
             f"SELECT '{name}' AS resource_type, count(*) AS row_count FROM {table}" for name, table in _SOURCES.items()

@@ -39,6 +39,7 @@ from ..sources.ndjson import RECORD, read_ndjson
 from ..sources.provenance import add_provenance, bad_lines, ingest
 from ..sources.schemas import declared_schema
 from ..sources.tables import read_table
+from ..streaming.files import load_new_files, read_loaded
 from .fixtures import NAMES, RUNS, Records
 from .medallion import Medallion
 
@@ -306,6 +307,36 @@ def bronze_bad_lines(r):
     return texts.unionByName(counted)
 
 
+@query
+def bronze_new_files(r):
+    """Event lines that come in three files, loaded in three loads; the second finds two of them, the third none."""
+    source, target = scratch_dir(r.spark, "arriving"), scratch_dir(r.spark, "bronze")
+    schema = declared_schema("Observation")
+    event = F.col("event_id")
+    line = F.format_string('{"id":"%d","issued":"%s","valueQuantity":{"value":%d}}', event, F.col("event_type"), event % 100)
+    lines = r.table("events").select(F.when(event % 50 == 7, "no record").otherwise(line).alias("value"), (event % 3).alias("file"))
+    for number, files in enumerate(((0,), (1, 2), ())):
+        for f in files:
+            lines.filter(F.col("file") == f).select("value").coalesce(1).write.text(f"{source}/part-{f}.ndjson")
+        # Spark names the files inside; the folders are what arrives.
+        load_new_files(r.spark, f"{source}/*", target, schema, f"load-{number}", glob="*")
+    rows = read_loaded(r.spark, target, schema).select("id", "valueQuantity.value", F.col("_ingestion_run_id").alias("run_id"))
+    bad = read_loaded(r.spark, target, schema, bad=True).select(F.lit(None).cast("string"), F.lit(None).cast("double"), "_ingestion_run_id")
+    return rows.union(bad)
+
+
+@query
+def bronze_default_run(r):
+    """Run ids that a load makes up itself: one for all its rows, named by the time of the load."""
+    source, target = scratch_dir(r.spark, "lines"), scratch_dir(r.spark, "bronze")
+    _undeclared(r).write.text(source)
+    report = ingest(r.spark, source, target, schema=declared_schema("Observation"))
+    run_id = F.col("_ingestion_run_id")
+    return read_table(r.spark, target).groupBy((run_id.rlike("^bronze_[0-9]{8}T[0-9]{6}Z$") & (run_id == report.run_id)).alias("named")).agg(
+        F.countDistinct(run_id).alias("runs"), F.count(F.lit(1)).alias("rows")
+    )
+
+
 @query
 def ingest_counts(r):
     names = NAMES

@@ -35,8 +35,13 @@ def read_records(
     ``_mistyped`` records in which a declared field has a value of another type (NULL in its column,
     still there in ``_record``). Blank lines are left out.
     """
+    return parse_lines(spark.read.text(path), schema, spread)
+
+
+def parse_lines(texts: DataFrame, schema: T.StructType, spread: int | None = None) -> DataFrame:
+    """The same for the lines of text files that were opened for reading, as a batch or as a stream."""
     corrupt = "_corrupt"
-    lines = spark.read.text(path).select(
+    lines = texts.select(
         F.col("value").alias(RECORD), F.col("_metadata.file_path").alias("_source_file")
     )
     lines = lines.filter(F.col(RECORD).rlike(r"\S"))
