@@ -947,8 +947,14 @@ ORACLE_SQL: dict[str, str] = {
         SELECT CAST(c_custkey AS VARCHAR) AS patient_id FROM customer
         ORDER BY md5(CAST(c_custkey AS VARCHAR) || '|42'), CAST(c_custkey AS VARCHAR) LIMIT 50""",
     "sample_linked": f"SELECT file_name, id FROM ({_KEPT}) WHERE kept",
+    "sample_written": f"SELECT file_name, split_part(file_name, '.', 1) AS resource_type, id FROM ({_KEPT}) WHERE kept",
     "sample_summary": f"""
         SELECT file_name, count(*) AS records_in, count(*) FILTER (kept) AS records_kept,
                round(100.0 * count(*) FILTER (kept) / count(*), 1) AS pct_kept
         FROM ({_KEPT}) GROUP BY file_name""",
 }
+_HEX = "md5(patient_id)"
+ORACLE_SQL["patient_lookup"] = f"""
+    WITH profiles AS ({ORACLE_SQL["entity_profile"]})
+    SELECT * REPLACE (concat_ws('-', {_HEX}[1:8], {_HEX}[9:12], {_HEX}[13:16], {_HEX}[17:20], {_HEX}[21:32]) AS patient_id)
+    FROM profiles WHERE CAST(patient_id AS BIGINT) = (SELECT max(CAST(patient_id AS BIGINT)) FROM profiles)"""

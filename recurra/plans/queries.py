@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
@@ -35,7 +36,7 @@ from ..operators.scd2 import CHECKED_COLUMNS, merge_snapshot
 from ..session import prepare, scratch_dir
 from ..sources.catalogue import RESOURCES
 from ..sources.commits import Commit, Commits, TableFiles
-from ..sources.ndjson import RECORD, read_ndjson
+from ..sources.ndjson import RECORD, read_lines, read_ndjson
 from ..sources.provenance import add_provenance, bad_lines, ingest
 from ..sources.schemas import declared_schema
 from ..sources.tables import read_table
@@ -698,6 +699,18 @@ def cohort_roster(r):
     )
 
 
+@query
+def patient_lookup(r):
+    """The profile of one patient, asked for by a UUID in another spelling: the last one with an admission."""
+    star = Star(r)
+    digest = F.md5("patient_id")
+    cuts = ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))
+    named = star.dim_patient.withColumn("patient_id", F.concat_ws("-", *(F.substring(digest, a, n) for a, n in cuts)))
+    admitted = star.fact_readmission.join(star.dim_patient, "patient_key").agg(F.max(F.col("patient_id").cast("long"))).first()[0]
+    wanted = hashlib.md5(str(admitted).encode()).hexdigest().upper()
+    return serving.entity_profile(f"{{{wanted}}}", star.fact_readmission, star.fact_encounter, named, star.dim_date)
+
+
 @query
 def cohort_notes(r):
     star = Star(r)
@@ -889,3 +902,15 @@ def sample_linked(r):
 @query
 def sample_summary(r):
     return sampling.sample_summary(_marked(r))
+
+
+@query
+def sample_written(r):
+    """The sample as files named like the export's, read back; a file of another kind takes no part."""
+    export, target = scratch_dir(r.spark, "export"), scratch_dir(r.spark, "sample")
+    other = r.table("region").select(F.lit("notes.txt").alias("file_name"), F.lit("Patient/1").alias("line"))
+    sampling.write_named(_raw_lines(r).select("file_name", "line").unionByName(other), export)
+    sampling.write_sample(r.spark, export, target)
+    return read_lines(r.spark, target).select(
+        "file_name", "resource_type", F.get_json_object("line", "$.id").alias("id")
+    )

@@ -153,3 +153,19 @@ def test_lines_are_matched_by_whole_ids(spark, export):
     marked = sampling.with_kept(read_lines(spark, export), sample)
     counts = {r.file_name: r.records_kept for r in sampling.sample_summary(marked).collect()}
     assert counts == {"Patient.ndjson": 2, "Encounter.2.ndjson": 4, "Observation.7.ndjson": 2}
+
+
+def test_large_samples_are_met_by_a_join_and_many_lines_by_many_files(spark, export, monkeypatch):
+    lines, sample = read_lines(spark, export), spark.createDataFrame([("person.8",), ("person.4",), (None,)], "id string")
+    sent = sampling.with_kept(lines, sample)
+    monkeypatch.setattr(sampling, "SENT_IDS", 1)
+    joined = sampling.with_kept(lines, sample)
+    assert joined.columns == sent.columns and joined.exceptAll(sent).count() == sent.exceptAll(joined).count() == 0
+    target = scratch_dir(spark, "sample")
+    sampling.write_named(sent.filter("kept"), target, rows_per_file=1)
+    back = read_lines(spark, target)
+    names = {r.file_name for r in back.collect()}
+    assert any(n.startswith("Encounter.2.") and n.endswith(".ndjson") and n != "Encounter.2.ndjson" for n in names)
+    kept = sent.filter("kept").select("resource_type", "line")
+    assert back.select("resource_type", "line").exceptAll(kept).count() == 0 and back.count() == kept.count()
+    assert sampling.with_kept(lines, sample.limit(0)).filter("kept").count() == 0
