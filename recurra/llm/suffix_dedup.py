@@ -5,7 +5,7 @@ Suffixes are taken at anchors only: of every window, the run of ``ANCHOR`` bytes
 Equal windows have equal anchors, so suffixes that start at anchors, and the reversed texts
 before them, tell all windows apart.
 
-1. Anchors that occur in a single document are left out (their hashes are compared in packed form).
+1. Anchors that occur in a single document are left out (they are compared in packed form, by hash).
 2. Of anchors with the same surroundings (everything a window around them can hold), all but those
    in the document with the smallest id are covered whole. The first one there stands for all that it holds.
 3. What is left per anchor are different surroundings. Their suffixes are sorted, to the right and
@@ -26,6 +26,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -38,6 +39,8 @@ ANCHOR = 20
 SIDE = WINDOW - ANCHOR
 CROWD = 65_536
 CHUNK = 1 << 22
+KNOWN_ROWS = 1 << 15
+MEET_ROWS = 1 << 20
 BASE = 0x9E3779B97F4A7C15
 INVERSE = pow(BASE, -1, 1 << 64)
 TOP = np.uint64((1 << 64) - 1)
@@ -122,51 +125,103 @@ def _signed(x: np.ndarray) -> pa.Array:
     return pa.array(np.ascontiguousarray(x).view(np.int64))
 
 
-def _shared(docs: DataFrame) -> DataFrame:
-    """``h``: the anchors that occur in more than one text, and a few more."""
-    buckets = max(1, 8 * docs.rdd.getNumPartitions())
+#: Rows of the one shuffle of anchors: hashes known to be shared, whole records of such, records to be decided.
+NOTICE, KNOWN, OPEN = 0, 1, 2
 
-    def pack(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in source:
-            for h, _, text, _ in anchors([x or b"" for x in batch.column(2).to_pylist()]):
-                order = np.argsort(h)
-                h, text = h[order], text[order]
-                new = np.concatenate(([True], h[1:] != h[:-1])) if len(h) else np.zeros(0, bool)
-                starts = np.flatnonzero(new)
-                if not len(starts):
-                    continue
-                many = np.minimum.reduceat(text, starts) != np.maximum.reduceat(text, starts)
-                # An anchor of two texts of this chunk is sent twice.
-                h = np.concatenate((h[starts], h[starts][many]))
-                bucket = (h % np.uint64(buckets)).astype(np.int64)
-                h = h[np.argsort(bucket, kind="stable")]
-                cuts = np.concatenate(([0], np.cumsum(np.bincount(bucket, minlength=buckets))))
-                parts = [h[cuts[k] : cuts[k + 1]].tobytes() for k in range(buckets)]
-                yield pa.RecordBatch.from_arrays([pa.array(range(buckets), pa.int64()), pa.array(parts, pa.binary())], names=["bucket", "part"])
 
-    def meet(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts = [np.frombuffer(x.as_buffer(), np.uint64) for batch in source for x in batch.column(1)]
-        if parts:
-            h = np.sort(np.concatenate(parts))
-            twice = np.unique(h[1:][h[1:] == h[:-1]])
-            yield pa.RecordBatch.from_arrays([_signed(twice)], names=["h"])
+def _cut_by_bucket(rows: np.ndarray, h: np.ndarray, buckets: int) -> Iterator[tuple[int, bytes]]:
+    """The rows of every bucket that has any, packed."""
+    bucket = (h % np.uint64(buckets)).astype(np.int64)
+    order = np.argsort(bucket, kind="stable")
+    rows, bucket = rows[order], bucket[order]
+    for a, b in pairwise([0, *(np.flatnonzero(np.diff(bucket)) + 1), len(bucket)] if len(bucket) else []):
+        yield int(bucket[a]), rows[a:b].tobytes()
+
+
+def _groups(records: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of records in order of ``h``: the hashes, which of them two ids have, and the same for every record."""
+    h, doc = records[:, 0], records[:, 2].view(np.int64)
+    starts = np.flatnonzero(np.concatenate(([True], h[1:] != h[:-1])))
+    many = np.minimum.reduceat(doc, starts) != np.maximum.reduceat(doc, starts)
+    return h[starts], many, np.repeat(many, np.diff(np.append(starts, len(h))))
+
+
+class Meeting:
+    """Records of one bucket that arrive bit by bit; those whose anchor two ids have leave it at once."""
 
-    packed = docs.mapInArrow(pack, "bucket long, part binary")
-    return stored(packed.repartition("bucket").mapInArrow(meet, "h long"), "shared")
+    def __init__(self) -> None:
+        self.shared, self.held = np.empty(0, np.uint64), np.empty((0, 4), np.uint64)
 
+    def notice(self, h: np.ndarray) -> None:
+        self.shared = np.union1d(self.shared, h)
 
-def _hits(docs: DataFrame, shared: DataFrame) -> DataFrame:
-    """``h``, ``c`` (surroundings), ``doc`` and ``at`` (position and check sum of the text) of shared anchors."""
+    def add(self, records: np.ndarray) -> np.ndarray:
+        both = np.concatenate((self.held, records))
+        both = both[np.argsort(both[:, 0], kind="stable")]
+        h, many, leaving = _groups(both)
+        told = np.isin(h, self.shared)
+        self.shared = np.union1d(self.shared, h[many & ~told])
+        leaving |= np.isin(both[:, 0], h[told])
+        self.held = both[~leaving]
+        return both[leaving]
 
-    def rows(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def _hits(docs: DataFrame) -> DataFrame:
+    """``h``, ``c`` (surroundings), ``doc`` and ``at`` (position and check sum of the text) of all anchors that
+    more than one id has.
+
+    Records travel packed, by buckets of the anchors' hashes. Those that two ids of one chunk have need no
+    meeting: they are spread evenly, and only their hashes go to the bucket, so a passage of very many
+    documents does not gather there.
+    """
+    buckets = max(1, 8 * docs.rdd.getNumPartitions())
+
+    def pack(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in source:
             doc, crc = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             for h, c, text, position in anchors([x or b"" for x in batch.column(2).to_pylist()]):
+                if not len(h):
+                    continue
                 at = (position << 32) | crc[text]
-                yield pa.RecordBatch.from_arrays([_signed(h), _signed(c), pa.array(doc[text]), pa.array(at)], names=["h", "c", "doc", "at"])
+                records = np.stack((h, c, doc[text].view(np.uint64), at.view(np.uint64)), axis=1)[np.argsort(h, kind="stable")]
+                found, many, known = _groups(records)
+                rows = [(b, NOTICE, part) for b, part in _cut_by_bucket(found[many], found[many], buckets)]
+                rows += [(b, OPEN, part) for b, part in _cut_by_bucket(records[~known], records[~known][:, 0], buckets)]
+                for a in range(0, int(known.sum()), KNOWN_ROWS):
+                    part = records[known][a : a + KNOWN_ROWS]
+                    rows.append((int(part[0, 0] % np.uint64(buckets)), KNOWN, part.tobytes()))
+                columns = zip(*rows, strict=True)
+                types = (pa.int64(), pa.int32(), pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(columns, types, strict=True)], names=["bucket", "kind", "part"])
+
+    def out(records: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([_signed(records[:, k]) for k in range(4)], names=["h", "c", "doc", "at"])
 
-    found = docs.mapInArrow(rows, "h long, c long, doc long, at long")
-    return stored(found.join(shared, "h"), "hits")
+    def meet(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, meeting, waiting, size = None, Meeting(), [], 0
+        for batch in source:
+            for bucket, kind, part in zip(*(batch.column(k) for k in range(3)), strict=True):
+                data = np.frombuffer(part.as_buffer(), np.uint64)
+                if bucket != now or size >= MEET_ROWS:
+                    if waiting:
+                        yield out(meeting.add(np.concatenate(waiting)))
+                    waiting, size = [], 0
+                    if bucket != now:
+                        now, meeting = bucket, Meeting()
+                if kind.as_py() == NOTICE:
+                    meeting.notice(data)
+                elif kind.as_py() == KNOWN:
+                    yield out(data.reshape(-1, 4))
+                else:
+                    # A copy, since the batch goes before the bucket ends.
+                    waiting.append(data.reshape(-1, 4).copy())
+                    size += len(waiting[-1])
+        if waiting:
+            yield out(meeting.add(np.concatenate(waiting)))
+
+    packed = docs.mapInArrow(pack, "bucket long, kind int, part binary")
+    met = packed.repartition("bucket").sortWithinPartitions("bucket", "kind").mapInArrow(meet, "h long, c long, doc long, at long")
+    return stored(met, "hits")
 
 
 class Suffixes:
@@ -344,8 +399,7 @@ def _different(docs: DataFrame, first: DataFrame) -> DataFrame:
 
 def removed_spans(docs: DataFrame) -> DataFrame:
     """Spans of covered bytes of ``docs`` (``doc``, ``crc``, ``text`` as bytes); they may overlap."""
-    shared = _shared(docs)
-    hits = _hits(docs, shared)
+    hits = _hits(docs)
     first, crc, position = _surroundings(hits), F.col("at").bitwiseAND(F.lit(0xFFFFFFFF)).alias("crc"), F.shiftright("at", 32)
     copied = first.where("copied").select("h", "c", F.col("doc").alias("least"))
     again = hits.join(copied, ["h", "c"]).where("doc > least")

@@ -159,3 +159,18 @@ def test_one_of_each_group_stays(spark, table, prose):
     assert kept.columns == docs.columns
     assert sorted((r.doc_id or 0, r.text or "") for r in kept.collect()) == sorted([(2, text), (7, prose(2, 90)), (0, prose(3, 70)), (8, "")])
     assert simhash_dedup.representatives(table([])).count() == 0
+
+
+@pytest.mark.parametrize("step", [1, 7, 500])
+def test_records_leave_a_meeting_as_soon_as_two_ids_have_them(step):
+    draw = random.Random(step)
+    rows = np.array([(draw.randrange(90), k, draw.choice([1, 1, 2, draw.randrange(40)]), k) for k in range(300)], np.uint64)
+    meeting, left = suffix_dedup.Meeting(), []
+    meeting.notice(np.array([3, 1000], np.uint64))
+    for a in range(0, len(rows), step):
+        left += meeting.add(rows[a : a + step]).tolist()
+    ids = {}
+    for h, _, doc, _ in rows.tolist():
+        ids.setdefault(h, set()).add(doc)
+    assert sorted(left) == sorted(r for r in rows.tolist() if r[0] == 3 or len(ids[r[0]]) > 1)
+    assert sorted(meeting.held.tolist()) == sorted(r for r in rows.tolist() if r[0] != 3 and len(ids[r[0]]) == 1)
