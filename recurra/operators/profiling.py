@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.codings import coding
-from ..functions.times import parse_iso, parse_iso_day
+from ..functions.times import parse_instant, parse_iso, parse_iso_day
 from ..session import scratch_dir
 from ..sources.catalogue import RESOURCES
 from ..sources.provenance import PROVENANCE_COLUMNS
@@ -194,6 +194,28 @@ def top_conditions(conditions: DataFrame, n: int = 10) -> DataFrame:
     )
 
 
+def times_read(records: DataFrame, *fields: str) -> DataFrame:
+    """Per time field: texts that flat tables read, those they lose, and malformed ones.
+
+    Flat tables read whole seconds with an offset only; other forms of ISO-8601 pass the contract (a day, a
+    fraction of a second, no offset) and are NULL there. All fields are counted in one pass.
+    """
+    entries = [
+        F.struct(F.lit(f).alias("field"), F.col(f).alias("text"), parse_instant(f).isNotNull().alias("read"), parse_iso(f).isNotNull().alias("iso"))
+        for f in fields
+    ]
+    return (
+        records.select(F.inline(F.array(*entries)))
+        .filter("text IS NOT NULL")
+        .groupBy("field")
+        .agg(
+            F.count_if("read").alias("read"),
+            F.count_if(~F.col("read") & F.col("iso")).alias("lost"),
+            F.count_if(~F.col("read") & ~F.col("iso")).alias("malformed"),
+        )
+    )
+
+
 # Widths in microseconds the median narrows down by: day, second, microsecond.
 _WIDTHS = (86_400_000_000, 1_000_000, 1)
 

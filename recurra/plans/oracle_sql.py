@@ -624,6 +624,14 @@ ORACLE_SQL: dict[str, str] = {
     "rate_by_attribute": _rates_by_attribute(),
     "silver_patient": _table("patient", drop="c_custkey"),
     "silver_encounter": _table("encounter", "start_time end_time", "o_orderkey"),
+    "silver_lineage": f"""
+        SELECT table_name, _bronze_load_ts, _bronze_source_file, _bronze_ingestion_run_id, count(*) AS rows
+        FROM (SELECT 'encounter' AS table_name, 'Encounter.ndjson' AS _bronze_source_file FROM orders
+              UNION ALL SELECT 'observation', 'Observation.ndjson' FROM events
+              UNION ALL SELECT 'patient', 'Patient.ndjson' FROM customer
+              UNION ALL SELECT 'practitioner', 'Practitioner.ndjson' FROM supplier),
+             (SELECT strftime(TIMESTAMP '2024-01-01', {TS}) AS _bronze_load_ts, 'fixture' AS _bronze_ingestion_run_id)
+        GROUP BY ALL""",
     "silver_condition": _table("condition", "onset_time abatement_time recorded_time", "k"),
     "silver_procedure": _table("procedure", "performed_start performed_end", "k"),
     "silver_observation": _table("observation", "effective_time"),
@@ -921,6 +929,23 @@ ORACLE_SQL: dict[str, str] = {
             SELECT DISTINCT k, substr(replace(regexp_replace(fullkey, '\[[0-9]+\]', '[]', 'g'), '"', ''), 3) AS path
             FROM parts, json_tree((left(line, length(line) - 1) || other || '}')::JSON) t WHERE t.type <> 'NULL' AND fullkey <> '$')
         SELECT path, round(count(*) * 100.0 / (SELECT count(*) FROM orders), 1) AS presence_pct FROM found GROUP BY path""",
+    "profile_times": _with(
+        """SELECT resource_type, field, count(*) FILTER (form = 'read') AS read, count(*) FILTER (form = 'lost') AS lost,
+                  count(*) FILTER (form = 'malformed') AS malformed
+           FROM (SELECT 'Encounter' AS resource_type, 'period.start' AS field,
+                        CASE WHEN o_orderkey % 83 = 2 THEN 'malformed' ELSE 'read' END AS form FROM orders
+                 UNION ALL SELECT 'Encounter', 'period.end', 'read' FROM orders
+                 UNION ALL SELECT 'Observation', 'effectiveDateTime', CASE WHEN event_id % 50 = 0 THEN 'lost' ELSE 'read' END FROM events
+                 UNION ALL SELECT 'Condition', 'onsetDateTime', CASE WHEN (l_orderkey + l_linenumber) % 73 = 2 THEN 'malformed' ELSE 'read' END FROM line
+                 UNION ALL SELECT 'Condition', 'abatementDateTime', 'read' FROM line WHERE l_linenumber % 2 = 0
+                 UNION ALL SELECT 'Condition', 'recordedDate', 'lost' FROM line
+                 UNION ALL SELECT 'Procedure', 'performedPeriod.start', 'read' FROM line
+                 UNION ALL SELECT 'Procedure', 'performedPeriod.end',
+                     CASE WHEN (l_orderkey + l_linenumber) % 61 = 5 THEN 'malformed' ELSE 'read' END FROM line
+                 UNION ALL SELECT 'MedicationRequest', 'authoredOn', 'read' FROM line)
+           GROUP BY ALL""",
+        "line",
+    ),
     "profile_encounter": _with(
         """SELECT 'class' AS metric, encounter_class_code AS value, count(*) AS frequency FROM encounter GROUP BY 2
            UNION ALL SELECT 'status', status, count(*) FROM encounter GROUP BY 2""",

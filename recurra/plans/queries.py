@@ -66,7 +66,7 @@ def plain(df: DataFrame) -> DataFrame:
     columns = []
     for f in df.schema:
         column = F.col(f"`{f.name}`")
-        if f.name.startswith("_bronze"):
+        if f.name.startswith("_bronze") and "_bronze_row_hash" in df.columns:
             continue
         if isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType)):
             column = F.date_format(column, "yyyy-MM-dd HH:mm:ss")
@@ -137,6 +137,21 @@ def silver_encounter(r):
     return silver.encounter(r.encounter())
 
 
+@query
+def silver_lineage(r):
+    """Where the rows of flat tables come from: load, file and run of their records, and a hash of each."""
+    flat = {n: silver.FLATTENERS[n][1](r.records(silver.FLATTENERS[n][0])) for n in ("encounter", "observation", "patient", "practitioner")}
+    whole = F.col("_bronze_row_hash").rlike("^[0-9a-f]{64}$")
+    counts = [
+        df.filter(whole)
+        .groupBy("_bronze_load_ts", "_bronze_source_file", "_bronze_ingestion_run_id")
+        .agg(F.count(F.lit(1)).alias("rows"))
+        .withColumn("table_name", F.lit(name))
+        for name, df in flat.items()
+    ]
+    return reduce(DataFrame.unionByName, counts)
+
+
 @query
 def silver_condition(r):
     return silver.condition(r.condition())
@@ -838,6 +853,23 @@ def profile_presence_undeclared(r):
     return profiling.record_presence(read_table(r.spark, target), RECORD, levels=4)
 
 
+# The time fields of each record type that flat tables read.
+TIMES = {
+    "Encounter": ("period.start", "period.end"),
+    "Observation": ("effectiveDateTime",),
+    "Condition": ("onsetDateTime", "abatementDateTime", "recordedDate"),
+    "Procedure": ("performedPeriod.start", "performedPeriod.end"),
+    "MedicationRequest": ("authoredOn",),
+}
+
+
+@query
+def profile_times(r):
+    """Times that flat tables read, those that pass the contract and are lost there, and malformed ones."""
+    found = [profiling.times_read(r.records(n, dirty=True), *fields).withColumn("resource_type", F.lit(n)) for n, fields in TIMES.items()]
+    return reduce(DataFrame.unionByName, found)
+
+
 @query
 def profile_encounter(r):
     return profiling.encounter_distributions(r.encounter(dirty=True))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import UTC, datetime
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -10,7 +11,7 @@ from pyspark.sql import types as T
 
 from ..functions.keys import record_hash, row_hash
 from .ndjson import BAD_LINE, MISTYPED, RECORD, read_ndjson, read_records
-from .tables import StageReport, stored_schema, write_table
+from .tables import StageReport, is_path, stored_schema, write_table
 
 PROVENANCE_COLUMNS = ("_load_ts", "_source_file", "_row_hash", "_ingestion_run_id")
 # Beside the declared fields where these are read from raw lines: the whole record and a mark.
@@ -59,9 +60,21 @@ def ingest(
     With a ``schema`` its fields become columns and the whole record stays beside them as text; without
     one, all fields are inferred in an extra pass. The columns stored by the first load must stay the
     same unless ``overwrite_schema``. Rows are counted while they are written. Lines that hold no record
-    go to ``bad_lines(target_table)`` with their text; the source is only read again if there are any.
+    go to ``bad_lines(target_table)`` with their text. A folder is loaded in one pass; only for a table of
+    the catalog is the source read again if it holds bad lines.
     """
     run_id = run_id or new_run_id()
+    if schema is not None and is_path(target_table):
+        rows = add_provenance(read_records(spark, source_path, schema, spread), run_id)
+        _same_columns(spark, source_path, target_table, rows.drop(BAD_LINE).schema, overwrite_schema)
+        loading = f"{target_table}_loading-{uuid.uuid4().hex}"
+        report, stored = ingest_once(spark, source_path, loading, run_id, schema, spread)
+        apart = spark.read.schema(stored).parquet(side(loading, True)) if report.rows["bad_lines"] else spark.createDataFrame([], stored)
+        kept = apart.select(F.col(RECORD).alias("line"), "_source_file", "_ingestion_run_id")
+        write_table(kept, bad_lines(target_table))
+        _replace(spark, side(loading, False), target_table)
+        _remove(spark, loading)
+        return StageReport(target_table, report.rows, run_id)
     counted = Observation()
     if schema is None:
         found = read_ndjson(spark, source_path, None, spread)
@@ -76,9 +89,7 @@ def ingest(
         F.count_if(mistyped).alias("mistyped"),
     )
     rows = add_provenance(found.filter(~bad).drop(BAD_LINE), run_id)
-    stored = stored_schema(spark, target_table)
-    if stored is not None and not overwrite_schema and _shape(stored) != _shape(rows.schema):
-        raise ValueError(f"columns of {target_table} differ from those of {source_path}")
+    _same_columns(spark, source_path, target_table, rows.schema, overwrite_schema)
     write_table(rows, target_table)
     counts = dict(counted.get)
     if schema is not None:
@@ -88,6 +99,28 @@ def ingest(
     return StageReport(target_table, counts, run_id)
 
 
+def _same_columns(spark: SparkSession, source: str, target: str, schema: T.StructType, overwrite_schema: bool) -> None:
+    stored = stored_schema(spark, target)
+    if stored is not None and not overwrite_schema and _shape(stored) != _shape(schema):
+        raise ValueError(f"columns of {target} differ from those of {source}")
+
+
+def _remove(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def _replace(spark: SparkSession, written: str, target: str) -> None:
+    """Put a folder in the place of a table; a rename where the store can rename folders."""
+    paths = spark._jvm.org.apache.hadoop.fs.Path
+    source, place = paths(written), paths(target)
+    files = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.delete(place, True)
+    files.mkdirs(place.getParent())
+    if not files.rename(source, place):
+        raise OSError(f"{written} could not be moved to {target}")
+
+
 def ingest_once(
     spark: SparkSession,
     source_path: str,

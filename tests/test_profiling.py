@@ -169,3 +169,10 @@ def test_large_samples_are_met_by_a_join_and_many_lines_by_many_files(spark, exp
     kept = sent.filter("kept").select("resource_type", "line")
     assert back.select("resource_type", "line").exceptAll(kept).count() == 0 and back.count() == kept.count()
     assert sampling.with_kept(lines, sample.limit(0)).filter("kept").count() == 0
+
+
+def test_times_that_flat_tables_lose(spark):
+    texts = ["2024-01-01T00:00:00Z", "2024-01-01T00:00:00+02:00", "2024-01-01T00:00:00.5Z", "2024-01-01", "2024-01-01T00:00:00", "2024-02-30", "soon", None]
+    records = spark.createDataFrame([((t, None),) for t in texts], "period struct<start:string,end:string>")
+    got = {r.field: (r["read"], r.lost, r.malformed) for r in profiling.times_read(records, "period.start", "period.end").collect()}
+    assert got == {"period.start": (2, 3, 2)}
