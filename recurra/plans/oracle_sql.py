@@ -625,12 +625,12 @@ ORACLE_SQL: dict[str, str] = {
     "silver_patient": _table("patient", drop="c_custkey"),
     "silver_encounter": _table("encounter", "start_time end_time", "o_orderkey"),
     "silver_lineage": f"""
-        SELECT table_name, _bronze_load_ts, _bronze_source_file, _bronze_ingestion_run_id, count(*) AS rows
-        FROM (SELECT 'encounter' AS table_name, 'Encounter.ndjson' AS _bronze_source_file FROM orders
+        SELECT table_name, load_ts, source_file, ingestion_run_id, count(*) AS rows
+        FROM (SELECT 'encounter' AS table_name, 'Encounter.ndjson' AS source_file FROM orders
               UNION ALL SELECT 'observation', 'Observation.ndjson' FROM events
               UNION ALL SELECT 'patient', 'Patient.ndjson' FROM customer
               UNION ALL SELECT 'practitioner', 'Practitioner.ndjson' FROM supplier),
-             (SELECT strftime(TIMESTAMP '2024-01-01', {TS}) AS _bronze_load_ts, 'fixture' AS _bronze_ingestion_run_id)
+             (SELECT strftime(TIMESTAMP '2024-01-01', {TS}) AS load_ts, 'fixture' AS ingestion_run_id)
         GROUP BY ALL""",
     "silver_condition": _table("condition", "onset_time abatement_time recorded_time", "k"),
     "silver_procedure": _table("procedure", "performed_start performed_end", "k"),

@@ -66,7 +66,7 @@ def plain(df: DataFrame) -> DataFrame:
     columns = []
     for f in df.schema:
         column = F.col(f"`{f.name}`")
-        if f.name.startswith("_bronze") and "_bronze_row_hash" in df.columns:
+        if f.name.startswith("_bronze"):
             continue
         if isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType)):
             column = F.date_format(column, "yyyy-MM-dd HH:mm:ss")
@@ -144,7 +144,7 @@ def silver_lineage(r):
     whole = F.col("_bronze_row_hash").rlike("^[0-9a-f]{64}$")
     counts = [
         df.filter(whole)
-        .groupBy("_bronze_load_ts", "_bronze_source_file", "_bronze_ingestion_run_id")
+        .groupBy(*(F.col(f"_bronze_{c}").alias(c) for c in ("load_ts", "source_file", "ingestion_run_id")))
         .agg(F.count(F.lit(1)).alias("rows"))
         .withColumn("table_name", F.lit(name))
         for name, df in flat.items()
@@ -780,7 +780,8 @@ def entity_topk(r):
 
 @query
 def library_topk(r):
-    queries = r.table("documents").select("doc_id", text_vector("text").alias("query_vector"))
+    # Vectors are made once, not again for every filter and bound on them.
+    queries = _kept(r.table("documents").select("doc_id", text_vector("text").alias("query_vector")), "query-vectors")
     found = retrieval.library_search(queries, _library(r), "doc_id", "entry_id")
     return found.withColumn("distance", F.round("distance", 6))
 
