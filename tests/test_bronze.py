@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from recurra.session import scratch_dir
 from recurra.sources.catalogue import RESOURCES, resource
-from recurra.sources.ndjson import read_ndjson
+from recurra.plans import queries
+from recurra.plans.fixtures import Records
+from recurra.sources.ndjson import BAD_LINE, RECORD, read_ndjson, read_records
 from recurra.sources.provenance import PROVENANCE_COLUMNS, add_provenance, bad_lines, ingest
 from recurra.sources.schemas import declared_schema
 from recurra.sources.tables import read_table
@@ -99,3 +101,28 @@ def test_whole_records_bad_lines_and_mistyped_values(spark, tmp_path):
     assert first._row_hash == reordered._row_hash != other._row_hash
     assert mistyped._mistyped and mistyped.valueQuantity.value is None and not first._mistyped
     assert {r.line for r in read_table(spark, bad_lines(target)).collect()} == set(lines[4:6])
+
+
+def test_export_of_one_task_is_read_in_several(spark, tmp_path, monkeypatch):
+    """A gzip file is one task, so a large type must not come as one file even if a single task wrote it."""
+    monkeypatch.setattr(queries, "FILE_RECORDS", 10, raising=False)
+    nations = spark.range(45).selectExpr("CAST(id AS INT) AS n_nationkey", "concat('n', id) AS n_name", "0 AS n_regionkey")
+    nations.coalesce(1).write.parquet(str(tmp_path / "nation.parquet"))
+    spark.createDataFrame([(0, "r")], "r_regionkey int, r_name string").write.parquet(str(tmp_path / "region.parquet"))
+    source = queries._as_files(Records(spark, str(tmp_path)), ("Organization",))
+    glob = f"{source}/{RESOURCES['Organization'].file_glob}"
+    assert len(spark.read.text(glob).inputFiles()) >= 5
+    report = ingest(spark, glob, scratch_dir(spark, "bronze"), "r", declared_schema("Organization"))
+    assert report.rows["loaded"] == 45
+
+
+def test_lines_that_are_no_object_are_bad(spark, tmp_path):
+    good = ['{"id":"1"}', ' \t{"id":"2"}  ', "{}", '{"id":"3","a":[{"b":null}]}']
+    bad = ["[1]", '"{"', "12", "null", "{", '{"id":"4"', "{'id':'5'}", '{"id":"6","id":"7"}', '\ufeff{"id":"8"}', '\u00a0{"id":"9"}', "x{}", '[{"id":"10"}]']
+    source = tmp_path / "lines.ndjson"
+    source.write_text("\n".join([*good, *bad, "", "  "]) + "\n")
+    lines = read_records(spark, str(source), declared_schema("Patient"))
+    schema = F.schema_of_variant(F.try_parse_json(RECORD))
+    asked = lines.select(RECORD, BAD_LINE, F.coalesce(~schema.startswith("OBJECT"), F.lit(True)).alias("no_object")).collect()
+    assert sorted(r[RECORD] for r in asked if not r[BAD_LINE]) == sorted(good)
+    assert all(r[BAD_LINE] == r.no_object for r in asked) and len(asked) == len(good) + len(bad)
