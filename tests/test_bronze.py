@@ -1,14 +1,16 @@
 from __future__ import annotations
 
+import gzip
 import json
 
 import pytest
 from pyspark.sql import functions as F
 
-from recurra.session import scratch_dir
+from recurra.session import prepare, scratch_dir
 from recurra.sources.catalogue import RESOURCES, resource
 from recurra.plans import queries
 from recurra.plans.fixtures import Records
+from recurra.plans.medallion import Medallion
 from recurra.sources.ndjson import BAD_LINE, RECORD, read_ndjson, read_records
 from recurra.sources.provenance import PROVENANCE_COLUMNS, add_provenance, bad_lines, ingest
 from recurra.sources.schemas import declared_schema
@@ -126,3 +128,26 @@ def test_lines_that_are_no_object_are_bad(spark, tmp_path):
     asked = lines.select(RECORD, BAD_LINE, F.coalesce(~schema.startswith("OBJECT"), F.lit(True)).alias("no_object")).collect()
     assert sorted(r[RECORD] for r in asked if not r[BAD_LINE]) == sorted(good)
     assert all(r[BAD_LINE] == r.no_object for r in asked) and len(asked) == len(good) + len(bad)
+
+def test_tables_are_packed_and_written_unsorted(spark, tmp_path):
+    """Whole records and hashes lie in several layers; two-sided writes need no sort of whole rows."""
+    pq = pytest.importorskip("pyarrow.parquet")
+    source, target = tmp_path / "x.ndjson", str(tmp_path / "bronze")
+    source.write_text('{"id": "1"}\nno record\n')
+    ingest(prepare(spark), str(source), target, "r", declared_schema("Patient"))
+    files = [*(tmp_path / "bronze").glob("*.parquet"), *(tmp_path / "bronze_bad_lines").glob("*.parquet")]
+    kinds = {pq.ParquetFile(f).metadata.row_group(0).column(0).compression for f in files if pq.ParquetFile(f).metadata.num_row_groups}
+    assert kinds == {"ZSTD"}
+    assert int(spark.conf.get("spark.sql.maxConcurrentOutputFileWriters")) >= 2
+
+
+def test_run_may_drop_its_export_once_loaded(spark, tmp_path, monkeypatch):
+    for stage in ("validate", "flatten", "snapshot", "gold"):
+        monkeypatch.setattr(Medallion, stage, lambda self, *_: [])
+    for drop in (False, True):
+        source = tmp_path / f"export-{drop}"
+        source.mkdir()
+        (source / "Patient.ndjson.gz").write_bytes(gzip.compress(b'{"id": "1"}\n'))
+        job = Medallion(spark, scratch_dir(spark, "run"))
+        job.run(str(source), "2024-01-01", "r", names=("Patient",), drop_source=drop)
+        assert source.exists() != drop and job.read("bronze", "patient").count() == 1
