@@ -37,7 +37,23 @@ LETTERS = "etaoinsrhldcumfp"
 
 
 def text_vector(text: Column | str) -> Column:
-    """Share of each of 16 letters in a text, without regard to case; NULL for an empty one."""
-    low = F.lower(as_column(text))
-    size = F.nullif(F.length(low), F.lit(0))
-    return F.when(size.isNotNull(), F.array(*[(size - F.length(F.replace(low, F.lit(x), F.lit("")))) / size for x in LETTERS]))
+    """Share of each of 16 letters in a text, without regard to case; NULL for an empty one.
+
+    Letters are taken out one after the other, so the text is lowered once and gets shorter from step to step;
+    what a step takes out, one byte a letter, is the letter's count.
+    """
+
+    def removed(rests: Column, letter: Column) -> Column:
+        return F.array_append(rests, F.replace(F.element_at(rests, -1), letter, F.lit("")))
+
+    def shares(sizes: Column, length: Column) -> Column:
+        counts = [F.get(sizes, F.lit(i)) - F.get(sizes, F.lit(i + 1)) for i in range(len(LETTERS))]
+        return F.when(length.isNotNull(), F.array(*[n / length for n in counts]))
+
+    def vector(rests: Column) -> Column:
+        sizes = F.transform(rests, F.octet_length)
+        length = F.nullif(F.length(F.get(rests, F.lit(0))), F.lit(0))
+        return F.get(F.transform(F.array(F.struct(sizes.alias("sizes"), length.alias("length"))), lambda x: shares(x["sizes"], x["length"])), F.lit(0))
+
+    rests = F.aggregate(F.array(*map(F.lit, LETTERS)), F.array(F.lower(as_column(text))), removed)
+    return F.get(F.transform(F.array(rests), vector), F.lit(0))

@@ -6,6 +6,9 @@ import random
 
 import pytest
 
+from pyspark.sql import functions as F
+
+from recurra.functions.vectors import LETTERS, text_vector
 from recurra.operators import retrieval
 
 
@@ -60,3 +63,12 @@ def test_search_leaves_most_pairs_of_clusters_unmeasured(spark):
     found = retrieval.library_search(queries, library, "query", "item")
     assert retrieval.measured_pairs(queries, library, "query", "item") < 0.35 * 200 * 2000
     assert found.count() == 800
+
+
+def test_letter_shares_read_a_text_once(spark):
+    texts = ["", None, "Tee", "ete ETE", "Straße İstanbul çe", "\n\t", "xyz", "e" * 500 + "ü", "日本e", "éÉ"]
+    shares = spark.createDataFrame([(t,) for t in texts], "t string").select("t", F.lower("t").alias("low"), text_vector("t").alias("v"))
+    for r in shares.collect():
+        assert r.v == ([r.low.count(x) / len(r.low) for x in LETTERS] if r.t else None)
+    plan = shares.select("v")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("lower(") == 1
