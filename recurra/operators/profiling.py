@@ -105,21 +105,44 @@ def _below(node: Column) -> Column:
     return F.filter(held, lambda n: n["value"].isNotNull() & ~F.is_variant_null(n["value"]))
 
 
+def _by_shape(records: DataFrame, record: str) -> DataFrame:
+    """One record of each shape with the number of records that have it: the record and ``_n``.
+
+    The shape is the schema of the record's value, which tells all paths with a value. Where it does not (an array
+    whose elements differ in kind is a VARIANT there), the record is its own shape. Texts that are no JSON
+    object have none. Shapes are counted before anything is shuffled; a second scan fetches the chosen records
+    by a hash and looks at the shapes of those alone.
+    """
+    spark = records.sparkSession
+    schema = F.schema_of_variant(F.try_parse_json(F.col(record)))
+    shape = F.when(schema.startswith("OBJECT"), F.when(schema.contains("VARIANT"), F.col(record)).otherwise(schema))
+    pick = F.xxhash64(record).alias("_pick")
+    shapes = records.select(shape.alias("_shape"), pick).groupBy("_shape").agg(F.count(F.lit(1)).alias("_n"), F.min("_pick").alias("_pick"))
+    folder = scratch_dir(spark, "shapes")
+    shapes.write.parquet(folder)
+    shapes = spark.read.schema(shapes.schema).parquet(folder).filter("_shape IS NOT NULL")
+    near = records.select(record, pick).join(shapes.select("_pick"), "_pick", "left_semi").select(record, shape.alias("_found"))
+    # A plain equality would have every record parsed again, to leave out those without a shape before the first join.
+    chosen = near.join(shapes, F.col("_found").eqNullSafe(F.col("_shape"))).groupBy("_shape").agg(F.min(record).alias(record), F.min("_n").alias("_n")).drop("_shape")
+    folder = scratch_dir(spark, "of-each-shape")
+    chosen.write.parquet(folder)
+    return spark.read.schema(chosen.schema).parquet(folder)
+
+
 def record_presence(records: DataFrame, record: str, levels: int = 12) -> DataFrame:
     """Share of records in which each path is filled, in percent, for whatever fields the records hold.
 
     ``record`` is a column of JSON texts; no schema is declared or inferred. A record is walked level by
     level within its row: a level is the list of its values with their paths, the next one what these
-    hold. A record counts once for a path; paths are counted before anything is shuffled. ``levels`` of
-    them are walked in one pass over the records. Only if some record is deeper (told by a count taken on
+    hold. A record counts once for a path. Records of one shape have the same paths, so one of each shape is
+    walked and counts for all. ``levels`` are walked in one pass over these. Only if some record is deeper (told by a count taken on
     the way) is another pass made, over what such records hold below. Paths are written ``a.b``, ``a[]`` and
     ``a[].b``; a NULL value is an absent one; texts that are no JSON object are not records.
     """
     spark = records.sparkSession
     value = F.try_parse_json(F.col(record))
-    is_object = F.schema_of_variant(value).startswith("OBJECT")
     root = F.array(F.struct(F.lit("").alias("path"), value.alias("value"))).cast(f"array<{_NODE}>")
-    walked = records.filter(is_object).select(root.alias("_0"), F.array().cast("array<string>").alias("_seen"))
+    walked = _by_shape(records, record).select("_n", root.alias("_0"), F.array().cast("array<string>").alias("_seen"))
     found, total = [], None
     while True:
         for level in range(levels):
@@ -132,7 +155,7 @@ def record_presence(records: DataFrame, record: str, levels: int = 12) -> DataFr
         marks = F.array(F.struct(F.lit(1), F.lit(None)), F.struct(F.when(deeper, 2), F.lit(None))).cast(entry)
         entries = F.concat(F.transform("_new", lambda p: F.struct(F.lit(0), p)).cast(entry), marks)
         counts = (
-            walked.select(F.inline(entries)).filter("kind IS NOT NULL").groupBy("kind", "path").agg(F.count(F.lit(1)).alias("present"))
+            walked.select("_n", F.inline(entries)).filter("kind IS NOT NULL").groupBy("kind", "path").agg(F.sum("_n").alias("present"))
         )
         folder = scratch_dir(spark, "presence")
         counts.write.parquet(folder)
@@ -142,7 +165,7 @@ def record_presence(records: DataFrame, record: str, levels: int = 12) -> DataFr
         total = sizes.get(1, 0) if total is None else total
         if 2 not in sizes:
             break
-        rest = walked.filter(deeper).select(F.col(f"_{levels}").alias("_0"), F.array_union("_seen", "_new").alias("_seen"))
+        rest = walked.filter(deeper).select("_n", F.col(f"_{levels}").alias("_0"), F.array_union("_seen", "_new").alias("_seen"))
         folder = scratch_dir(spark, "deeper")
         rest.write.parquet(folder)
         walked = spark.read.schema(rest.schema).parquet(folder)

@@ -176,3 +176,15 @@ def test_times_that_flat_tables_lose(spark):
     records = spark.createDataFrame([((t, None),) for t in texts], "period struct<start:string,end:string>")
     got = {r.field: (r["read"], r.lost, r.malformed) for r in profiling.times_read(records, "period.start", "period.end").collect()}
     assert got == {"period.start": (2, 3, 2)}
+
+
+def test_one_record_of_each_shape_is_walked(spark):
+    """Records of one shape count through one of them; where a shape hides fields the record stands for itself."""
+    texts = [json.dumps({"id": i, "a": [{"b": None}, {"c": str(i)}] if i % 2 else [], "d": None if i % 3 else {"x.y": i}}) for i in range(600)]
+    texts += ['{"m": [{"p": 1}, 2]}', '{"m": [{"q": 1}, 2]}', '{"m": [{"p": 1}, 2]}', '{"a: BIGINT, b": 1}', '{"a": 1, "b": 1}', "[1]", "x", None]
+    records = spark.createDataFrame([(t,) for t in texts], "r string")
+    shapes = profiling._by_shape(records, "r").collect()
+    assert sorted(r["_n"] for r in shapes) == [1, 1, 1, 2, 100, 100, 200, 200]
+    share = {r.path: r.presence_pct for r in profiling.record_presence(records, "r").collect()}
+    counts = {"id": 600, "a": 601, "b": 1, "a: BIGINT, b": 1, "a[]": 300, "a[].c": 300, "d": 200, "d.x.y": 200, "m": 3, "m[]": 3, "m[].p": 2, "m[].q": 1}
+    assert share == {path: round(n * 100 / 605, 1) for path, n in counts.items()}
