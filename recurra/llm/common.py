@@ -9,24 +9,29 @@ from recurra.session import scratch_dir
 #: Words are runs of anything but these; the set is that of ``bytes.split``.
 SPACE = r"[\x20\x09-\x0D]+"
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def stored(df: DataFrame, purpose: str) -> DataFrame:
+def stored(df: DataFrame, purpose: str, batch_bytes: int | None = None) -> DataFrame:
     """``df`` written once below the shared scratch folder and read back: no lineage, real sizes.
 
-    Nothing reads the shuffles of a written plan again, so Spark is told to delete them at its end.
+    Nothing reads the shuffles of a written plan again, so Spark is told to delete them at its end. Batches that
+    go to Python hold about ``batch_bytes``, if given: Spark holds each one twice beside its heap, Python once more.
     """
     spark, path = df.sparkSession, scratch_dir(df.sparkSession, purpose)
-    before = spark.conf.get(CLEANUP, "false")
-    spark.conf.set(CLEANUP, "true")
+    settings = {CLEANUP: "true"} | ({BATCH_BYTES: str(batch_bytes)} if batch_bytes else {})
+    before = {key: spark.conf.get(key, None) for key in settings}
     try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
         df.write.parquet(path)
     finally:
-        spark.conf.set(CLEANUP, before)
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -25,6 +25,7 @@ columns are ignored; an empty table gives no rows.
 from __future__ import annotations
 
 import hashlib
+import zlib
 from collections.abc import Iterator
 from itertools import pairwise
 
@@ -38,7 +39,11 @@ WINDOW = 50
 ANCHOR = 20
 SIDE = WINDOW - ANCHOR
 CROWD = 65_536
-CHUNK = 1 << 22
+#: Bytes of text hashed at once (a dozen arrays of 8 bytes each), and anchors packed at once.
+CHUNK = 1 << 20
+PACK_ROWS = 1 << 18
+#: Bytes of packed records that a Python task gets at once.
+PACK_BYTES = 1 << 22
 KNOWN_ROWS = 1 << 15
 MEET_ROWS = 1 << 20
 BASE = 0x9E3779B97F4A7C15
@@ -170,29 +175,39 @@ def _hits(docs: DataFrame) -> DataFrame:
     """``h``, ``c`` (surroundings), ``doc`` and ``at`` (position and check sum of the text) of all anchors that
     more than one id has.
 
-    Records travel packed, by buckets of the anchors' hashes. Those that two ids of one chunk have need no
+    Records travel packed, by buckets of the anchors' hashes. Those that two ids of one pack have need no
     meeting: they are spread evenly, and only their hashes go to the bucket, so a passage of very many
     documents does not gather there.
     """
     buckets = max(1, 8 * docs.rdd.getNumPartitions())
 
+    def rows_of(records: np.ndarray) -> pa.RecordBatch:
+        records = records[np.argsort(records[:, 0], kind="stable")]
+        found, many, known = _groups(records)
+        rows = [(b, NOTICE, part) for b, part in _cut_by_bucket(found[many], found[many], buckets)]
+        rows += [(b, OPEN, part) for b, part in _cut_by_bucket(records[~known], records[~known][:, 0], buckets)]
+        decided = records[known]
+        for a in range(0, len(decided), KNOWN_ROWS):
+            part = decided[a : a + KNOWN_ROWS].tobytes()
+            # Not by their hashes: the same ones are shared in pack after pack.
+            rows.append((zlib.crc32(part) % buckets, KNOWN, part))
+        columns = zip(*rows, strict=True)
+        types = (pa.int64(), pa.int32(), pa.binary())
+        return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(columns, types, strict=True)], names=["bucket", "kind", "part"])
+
     def pack(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting, size = [], 0
         for batch in source:
             doc, crc = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             for h, c, text, position in anchors([x or b"" for x in batch.column(2).to_pylist()]):
-                if not len(h):
-                    continue
                 at = (position << 32) | crc[text]
-                records = np.stack((h, c, doc[text].view(np.uint64), at.view(np.uint64)), axis=1)[np.argsort(h, kind="stable")]
-                found, many, known = _groups(records)
-                rows = [(b, NOTICE, part) for b, part in _cut_by_bucket(found[many], found[many], buckets)]
-                rows += [(b, OPEN, part) for b, part in _cut_by_bucket(records[~known], records[~known][:, 0], buckets)]
-                for a in range(0, int(known.sum()), KNOWN_ROWS):
-                    part = records[known][a : a + KNOWN_ROWS]
-                    rows.append((int(part[0, 0] % np.uint64(buckets)), KNOWN, part.tobytes()))
-                columns = zip(*rows, strict=True)
-                types = (pa.int64(), pa.int32(), pa.binary())
-                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(columns, types, strict=True)], names=["bucket", "kind", "part"])
+                waiting.append(np.stack((h, c, doc[text].view(np.uint64), at.view(np.uint64)), axis=1))
+                size += len(h)
+                if size >= PACK_ROWS:
+                    yield rows_of(np.concatenate(waiting))
+                    waiting, size = [], 0
+        if size:
+            yield rows_of(np.concatenate(waiting))
 
     def out(records: np.ndarray) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([_signed(records[:, k]) for k in range(4)], names=["h", "c", "doc", "at"])
@@ -221,7 +236,7 @@ def _hits(docs: DataFrame) -> DataFrame:
 
     packed = docs.mapInArrow(pack, "bucket long, kind int, part binary")
     met = packed.repartition("bucket").sortWithinPartitions("bucket", "kind").mapInArrow(meet, "h long, c long, doc long, at long")
-    return stored(met, "hits")
+    return stored(met, "hits", PACK_BYTES)
 
 
 class Suffixes:

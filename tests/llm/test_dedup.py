@@ -3,12 +3,16 @@
 from __future__ import annotations
 
 import random
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from recurra.llm import simhash_dedup, suffix_dedup
+from recurra.llm.common import BATCH_BYTES, stored
 from recurra.llm.components import connected_components
 
 
@@ -73,6 +77,37 @@ def test_suffix_dedup_of_repeated_ids_and_nothing(spark, table, prose):
     assert suffix_dedup.without_repeats(table([])).count() == 0
 
 
+def test_suffix_dedup_packs_across_chunks(spark, table, prose, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "CHUNK", 700)
+    expected = removed_by_brute_force(rows := passages(prose))
+    for pack_rows, known_rows in ((40, 3), (1 << 18, 1 << 15)):
+        monkeypatch.setattr(suffix_dedup, "PACK_ROWS", pack_rows)
+        monkeypatch.setattr(suffix_dedup, "KNOWN_ROWS", known_rows)
+        got = suffix_dedup.without_repeats(table(rows).repartition(2)).collect()
+        assert {r.doc_id: bytes(r.kept) for r in got} == expected
+
+
+def test_anchors_of_many_texts_take_bounded_memory(prose):
+    texts = [prose(k, 600).encode() for k in range(2000)]
+    tracemalloc.start()
+    found = sum(len(h) for h, *_ in suffix_dedup.anchors(texts))
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert found > sum(map(len, texts)) // 20 and most < 100e6
+
+
+def test_batches_of_packed_rows_are_bounded_by_bytes(spark):
+    def sizes(source):
+        for batch in source:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows]), pa.array([batch.nbytes])], names=["n", "bytes"])
+
+    packed = spark.range(0, 1000, 1, 1).select("id", F.repeat(F.lit("x"), 35_000).cast("binary").alias("part"))
+    before = spark.conf.get(BATCH_BYTES, None)
+    got = stored(packed.mapInArrow(sizes, "n long, bytes long"), "sizes", suffix_dedup.PACK_BYTES).collect()
+    assert sum(r.n for r in got) == 1000 and max(r.bytes for r in got) < 2 * suffix_dedup.PACK_BYTES
+    assert spark.conf.get(BATCH_BYTES, None) == before
+
+
 def test_suffixes_are_sorted_and_extensions_exact():
     draw = random.Random(3)
     texts = [bytes(draw.choice(b"ab") for _ in range(draw.randint(1, 60))) for _ in range(200)] + [b"aaaa"] * 5
