@@ -14,7 +14,19 @@ def _sum_of(a: Column, b: Column, term) -> Column:
 
 
 def squared_l2(a: Column | str, b: Column | str) -> Column:
-    return _sum_of(as_column(a), as_column(b), lambda x, y: (x - y) * (x - y))
+    # Differences are taken once and squared while they are summed.
+    apart = F.zip_with(as_column(a), as_column(b), lambda x, y: x.cast("double") - y.cast("double"))
+    return F.aggregate(apart, F.lit(0.0), lambda total, x: total + x * x)
+
+
+def squared_l2_written(a: str, b: str, size: int) -> Column:
+    """``squared_l2`` of two columns, written out for vectors of ``size``.
+
+    Spark compiles it, while it interprets lambdas; other sizes still take those. Sums run in the same order.
+    """
+    steps = [f"(CAST(get({a}, {i}) AS DOUBLE) - CAST(get({b}, {i}) AS DOUBLE))" for i in range(size)]
+    total = F.expr(" + ".join(["0D", *(f"{d} * {d}" for d in steps)]))
+    return F.when((F.size(a) == size) & (F.size(b) == size), total).otherwise(squared_l2(a, b))
 
 
 def inner_product(a: Column | str, b: Column | str) -> Column:

@@ -112,9 +112,17 @@ def index_admissions(
 
 
 def fact_readmission(
-    encounter: DataFrame, fact_encounter: DataFrame, hot_rows: int | None = None
+    encounter: DataFrame,
+    fact_encounter: DataFrame,
+    hot_rows: int | None = None,
+    admissions: DataFrame | None = None,
 ) -> DataFrame:
-    """One row per index admission, with the keys of its encounter fact."""
+    """One row per index admission, with the keys of its encounter fact.
+
+    ``admissions`` are the ``index_admissions`` of the encounters, if they are there already.
+    """
+    if admissions is None:
+        admissions = index_admissions(encounter, hot_rows=hot_rows)
     keys = fact_encounter.select(
         "encounter_id",
         "encounter_key",
@@ -124,8 +132,7 @@ def fact_readmission(
         "length_of_stay_hours",
     )
     return (
-        index_admissions(encounter, hot_rows=hot_rows)
-        .join(keys, "encounter_id")
+        admissions.join(keys, "encounter_id")
         .select(
             F.col("encounter_key").alias("readmission_key"),
             F.col("encounter_key").alias("index_encounter_key"),

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.codings import first
 from ..functions.references import trailing_id
-from ..functions.vectors import METRICS, squared_l2
+from ..functions.vectors import METRICS, squared_l2, squared_l2_written
 from .incremental import latest_per_key, upsert
 from .skew import HOT_ROWS, hot_keys
 
@@ -21,6 +21,8 @@ SALTS = 64
 LIBRARY_BLOCKS = 16
 #: Pivots of a library search, rings of distance around each, and entries in a row.
 PIVOTS, RINGS, PACK = 64, 16, 256
+#: The distance of two vectors up to this size is written out as one expression, which Spark compiles.
+WRITTEN = 64
 
 
 def notes(document_reference: DataFrame) -> DataFrame:
@@ -120,8 +122,9 @@ def library_topk(
 
 def _visits(
     queries: DataFrame, library: DataFrame, query: str, item: str, k: int = LIBRARY_K, pivots: int = PIVOTS
-) -> DataFrame:
-    """Queries beside the packs of entries they visit: query, query_vector, _entries.
+) -> tuple[DataFrame, int, bool]:
+    """Queries beside the packs of entries they visit: query, query_vector, _entries; the usual size of vectors;
+    and whether packs are so small that their best k are most of them.
 
     Some entries, fixed in number, are pivots. An entry belongs to the cell of its nearest pivot and of its
     distance to that. By the triangle inequality no entry of a cell is nearer to a query than the query's
@@ -179,15 +182,20 @@ def _visits(
         .withColumn("_reach", reach)
         .select(query, "query_vector", F.inline(F.flatten(F.transform(F.filter(known, may_hold), all_packs))))
     )
-    return visits.join(packed, ["_cell", "_pack"]).select(query, "query_vector", "_entries")
+    met = visits.join(packed, ["_cell", "_pack"]).select(query, "query_vector", "_entries")
+    return met, len(chosen[0]) if chosen else 0, sum(r.n for r in sizes) <= 2 * k * sum(packs)
 
 
 def library_search(
     queries: DataFrame, library: DataFrame, query: str, item: str, k: int = LIBRARY_K, pivots: int = PIVOTS
 ) -> DataFrame:
     """What ``library_topk`` finds by squared Euclidean distance, without measuring every pair (see ``_visits``)."""
-    met = _visits(queries, library, query, item, k, pivots)
-    found = met.select(query, F.inline(_nearest_entries("query_vector", "_entries", item, k, squared_l2)))
+    met, dims, small = _visits(queries, library, query, item, k, pivots)
+    if 0 < dims <= WRITTEN and small:
+        pairs = met.select(query, "query_vector", F.inline("_entries"))
+        found = pairs.select(query, squared_l2_written("query_vector", "vector", dims).alias("distance"), item)
+    else:
+        found = met.select(query, F.inline(_nearest_entries("query_vector", "_entries", item, k, squared_l2)))
     return _best(found, [query], item, k, "rank")
 
 
@@ -195,7 +203,7 @@ def measured_pairs(
     queries: DataFrame, library: DataFrame, query: str, item: str, k: int = LIBRARY_K, pivots: int = PIVOTS
 ) -> int:
     """How many pairs of a query and an entry such a search measures."""
-    met = _visits(queries, library, query, item, k, pivots)
+    met, _, _ = _visits(queries, library, query, item, k, pivots)
     return met.agg(F.sum(F.size("_entries")).alias("n")).first().n or 0
 
 
@@ -212,7 +220,8 @@ def _nearest_entries(vector: str, entries: str, item: str, k: int, distance) ->
             distance(F.col(vector), e["vector"]).alias("distance"), e[item].alias(item)
         ),
     )
-    return F.slice(F.array_sort(scored), 1, k)
+    # Sorts in the engine's own order of rows; ``array_sort`` runs an expression per comparison.
+    return F.slice(F.sort_array(scored), 1, k)
 
 
 def evidence_bundle(

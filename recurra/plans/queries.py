@@ -81,7 +81,9 @@ class Star:
 
     def __init__(self, records: Records):
         self.encounter = silver.encounter(records.encounter())
-        with ThreadPoolExecutor(2) as pool:
+        with ThreadPoolExecutor(3) as pool:
+            # Admissions need no history, so they are put in order meanwhile.
+            admissions = pool.submit(facts.index_admissions, self.encounter, hot_rows=None)
             patients, organizations = pool.map(records.stored_history, ("patient", "organization"))
         self.dim_patient = dimensions.dim_patient(patients)
         self.dim_organization = dimensions.dim_organization(organizations)
@@ -89,7 +91,9 @@ class Star:
         self.fact_encounter = facts.fact_encounter(
             self.encounter, self.dim_patient, self.dim_organization
         )
-        self.fact_readmission = facts.fact_readmission(self.encounter, self.fact_encounter)
+        self.fact_readmission = facts.fact_readmission(
+            self.encounter, self.fact_encounter, admissions=admissions.result()
+        )
 
 
 # --- repeat events -------------------------------------------------------------------------
@@ -798,22 +802,32 @@ def library_topk(r):
     return found.withColumn("distance", F.round("distance", 6))
 
 
-@query
-def evidence_bundle(r):
-    star = Star(r)
-    profiles = serving.entity_profiles(
-        star.fact_readmission, star.fact_encounter, star.dim_patient, star.dim_date
-    ).select("patient_id", "gender", "ever_readmitted_30d")
+def _note_searches(r: Records) -> tuple[DataFrame, DataFrame]:
+    """The nearest notes and library entries of every patient's first note."""
     vectors = retrieval.notes(r.document_reference()).select(
         "patient_id", F.col("note_id").cast("long").alias("note_id"), text_vector("note_text").alias("vector")
     )
     # Notes are decoded and turned into vectors once; the searches read vectors.
     vectors = _kept(vectors, "note-vectors")
     queries = _first_vector(vectors, "patient_id", "note_id")
+    entries = retrieval.library_search(queries, _library(r), "patient_id", "entry_id")
+    return retrieval.entity_topk(queries, vectors, "patient_id", "note_id"), _kept(entries, "library-entries")
+
+
+@query
+def evidence_bundle(r):
+    with ThreadPoolExecutor(1) as pool:
+        # Searches need no facts: they run beside the histories, whose runs follow each other.
+        searches = pool.submit(_note_searches, r)
+        star = Star(r)
+        profiles = serving.entity_profiles(
+            star.fact_readmission, star.fact_encounter, star.dim_patient, star.dim_date
+        ).select("patient_id", "gender", "ever_readmitted_30d")
+        top_notes, top_library = searches.result()
     bundle = retrieval.evidence_bundle(
         profiles,
-        retrieval.entity_topk(queries, vectors, "patient_id", "note_id"),
-        retrieval.library_search(queries, _library(r), "patient_id", "entry_id"),
+        top_notes,
+        top_library,
         "patient_id",
         "note_id",
         "entry_id",

@@ -8,7 +8,7 @@ import pytest
 
 from pyspark.sql import functions as F
 
-from recurra.functions.vectors import LETTERS, text_vector
+from recurra.functions.vectors import LETTERS, squared_l2, squared_l2_written, text_vector
 from recurra.operators import retrieval
 
 
@@ -55,6 +55,25 @@ def test_search_of_few_entries_and_none(spark):
     assert search(spark, [], [(7, [1.0, 1.0])]) == {}
 
 
+def test_written_distances_are_those_of_lambdas(spark):
+    draw = random.Random(5)
+    values = [None, [], [1.5], [0.1, None, 0.3], [0.1, 0.2, 0.3], [float("nan"), 1.0, 2.0], [1e300, -1e300, 0.0], [0.1, 0.2, 0.3, 0.4]]
+    values += [[draw.random() for _ in range(3)] for _ in range(20)]
+    pairs = spark.createDataFrame([(a, b) for a in values for b in values], "a array<double>, b array<double>")
+    for size in (1, 3):
+        got = pairs.select(squared_l2("a", "b").alias("lambdas"), squared_l2_written("a", "b", size).alias("written")).collect()
+        assert [repr(r.lambdas) for r in got] == [repr(r.written) for r in got]
+
+
+def test_search_of_small_packs_runs_no_lambda_over_entries(spark):
+    entries = [(i, [float(i), 1.0]) for i in range(30)]
+    queries = spark.createDataFrame([(1, [3.2, 0.0])], "query long, query_vector array<double>")
+    library = spark.createDataFrame(entries, "item long, vector array<double>")
+    found = retrieval.library_search(queries, library, "query", "item")
+    assert "transform(_entries" not in found._jdf.queryExecution().optimizedPlan().toString()
+    assert [r.item for r in found.orderBy("rank").collect()] == [3, 4, 2, 5]
+
+
 def test_search_leaves_most_pairs_of_clusters_unmeasured(spark):
     draw = random.Random(2)
     points = clustered(draw, 2000, 0.05)
