@@ -82,9 +82,10 @@ class CommittedRun(Medallion):
 
         return self._each(load, names)
 
-    def validate(self) -> list[StageReport]:
-        reports = super().validate()
-        for name, report in zip(CONTRACTS, reports, strict=True):
+    def validate(self, names: Iterable[str] = tuple(CONTRACTS)) -> list[StageReport]:
+        names = list(names)
+        reports = super().validate(names)
+        for name, report in zip(names, reports, strict=True):
             table = RESOURCES[name].table
             schema = T.StructType([*self.files[f"bronze/{table}"].schema, T.StructField(ERROR, T.StringType())])
             held = {WHOLE: f"{self.folder}/silver/{table}_checked/is_valid=false"} if report.rows["held"] else {}

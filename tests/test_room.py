@@ -9,7 +9,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from recurra.plans import queries
-from recurra.plans.fixtures import NAMES
+from recurra.plans.fixtures import NAMES, Records
+from recurra.plans.medallion import Medallion
 from recurra.session import prepare, scratch_dir, shuffles_dropped
 from recurra.sources.catalogue import RESOURCES
 from recurra.sources.tables import read_table, write_table
@@ -65,9 +66,9 @@ def _watched(monkeypatch, scratch, at: str, *patterns: str) -> list[set[str]]:
     """What matches at each call of a function of the queries, filled as these are called."""
     seen, call = [], getattr(queries, at)
 
-    def watch(*args):
+    def watch(*args, **named):
         seen.append({p.name for pattern in patterns for p in scratch(pattern)})
-        return call(*args)
+        return call(*args, **named)
 
     monkeypatch.setattr(queries, at, watch)
     return seen
@@ -104,3 +105,27 @@ def test_shuffles_go_with_their_query(spark, tmp_path):
 def test_hashes_take_little_more_than_their_digits(spark, tmp_path):
     write_table(spark.range(20000).select(F.sha2(F.col("id").cast("string"), 256).alias("hash")).coalesce(1), str(tmp_path / "x"))
     assert sum(f.stat().st_size for f in (tmp_path / "x").glob("*.parquet")) < 20000 * 35
+
+
+def test_tables_of_a_tested_run_go_once_read(spark, tables, scratch, monkeypatch):
+    monkeypatch.setattr(queries, "SMALL", 0, raising=False)
+    seen = _watched(monkeypatch, scratch, "_as_files", "ndjson-*/*", "run-*/*/*")
+    tests = queries.QUERIES["dq_report"](spark, tables).collect()
+    assert len(seen) == len(NAMES)
+    assert seen[-1] <= {"patient", "organization", "practitioner", "dim_condition"}
+    left = {f"{p.parent.name}/{p.name}" for p in scratch("run-*/*/*")}
+    assert not scratch("ndjson-*") and not any(p.startswith("bronze/") or p.endswith("_checked") for p in left)
+    assert {"gold/fact_encounter", "gold/fact_readmission", "silver/patient_snapshot"} <= left
+
+    # The same results as of a run that keeps all its tables.
+    whole = Medallion(spark, scratch_dir(spark, "whole"))
+    whole.run(queries._as_files(Records(spark, tables), NAMES, True), "2002-01-01", "bronze_test", names=NAMES)
+    kept = whole.check()
+    assert tests == kept.collect() and len(tests) == 69
+    assert any(r.failures for r in tests)
+    assert whole.read("bronze", "condition").count() == COUNTS["Condition"]
+
+
+def test_two_sided_writes_have_a_writer_to_spare(spark):
+    """Spark begins to sort what is left of a task's rows once as many writers are open as it may have."""
+    assert int(prepare(spark).conf.get("spark.sql.maxConcurrentOutputFileWriters")) > 2
